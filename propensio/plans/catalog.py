@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from propensio.config import DataSpec, FeatureSpec
 from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
+from propensio.session import ensure_checkpoint_dir
 from propensio.sources.tables import clients_view
 
 SPEC = DataSpec()
@@ -34,8 +35,18 @@ def round_doubles(df: DataFrame, digits: int = REPORT_DIGITS) -> DataFrame:
     return df.select(*out)
 
 
-def folded(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC) -> DataFrame:
-    return splits.assign_folds(clients_view(spark, sf_dir), spec)
+def folded(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC, materialize: bool = True) -> DataFrame:
+    """The frozen client table (folds assigned).
+
+    Like the reference's frozen file, it is materialised once (a reliable
+    checkpoint in the session's shared checkpoint folder), so the fits and
+    reports that follow read it instead of re-running the fold plan.
+    """
+    frame = splits.assign_folds(clients_view(spark, sf_dir), spec)
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        frame = frame.checkpoint(eager=True)
+    return frame
 
 
 def fitted_features(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC) -> tuple[DataFrame, FeatureModel]:
@@ -63,7 +74,7 @@ def q_clients_view(spark, sf_dir):
 
 
 def q_freeze_folds(spark, sf_dir):
-    return folded(spark, sf_dir)
+    return folded(spark, sf_dir, materialize=False)
 
 
 def q_fold_counts(spark, sf_dir):
@@ -125,6 +136,47 @@ def q_age_brackets(spark, sf_dir):
     return c.select("ID", "Age", *[e.alias(n) for n, e in flags.items()])
 
 
+def both_label_matrix(spark, sf_dir) -> DataFrame:
+    frame, model = fitted_features(spark, sf_dir)
+    xy = frame.select(SPEC.id_col, SPEC.fold_col, *FSPEC.base_cols, *SPEC.target_cols)
+    return model.transform(xy)
+
+
+def long_by_target(fm: DataFrame, score) -> DataFrame:
+    """(target, ID, fold, score, label): one row per client and target."""
+    pairs = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("int").alias("label")) for t in SPEC.target_cols])
+    return fm.select(SPEC.id_col, SPEC.fold_col, score.alias("score"), F.explode(pairs).alias("_t")).select(
+        "_t.target", SPEC.id_col, SPEC.fold_col, "score", "_t.label"
+    )
+
+
+def q_metrics_by_target(spark, sf_dir):
+    from propensio.functions.scores import probe_score
+    from propensio.operators.metrics import binary_metrics
+
+    scored = long_by_target(splits.test_block(both_label_matrix(spark, sf_dir)), probe_score())
+    return binary_metrics(scored, group_cols=["target"])
+
+
+def q_auc_by_fold(spark, sf_dir):
+    from propensio.functions.scores import probe_score
+    from propensio.operators.metrics import binary_metrics
+
+    fm, _ = feature_matrix(spark, sf_dir)
+    scored = splits.train_val_block(fm).select(F.col(SPEC.fold_col).alias("fold"), probe_score().alias("score"), "label")
+    return binary_metrics(scored, group_cols=["fold"])
+
+
+def q_minmax_scaled(spark, sf_dir):
+    from propensio.operators.scaling import MinMaxColumns
+
+    fm, _ = feature_matrix(spark, sf_dir)
+    feats = FSPEC.feature_cols
+    scaler = MinMaxColumns(inputCols=feats).fit(splits.train_val_block(fm))
+    scaled = scaler.transform(splits.test_block(fm)).drop(SPEC.fold_col)
+    return round_doubles(scaled)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clients_view": q_clients_view,
     "freeze_folds": q_freeze_folds,
@@ -139,4 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_matrix_train": q_feature_matrix_train,
     "feature_matrix_test": q_feature_matrix_test,
     "age_brackets": q_age_brackets,
+    "metrics_by_target": q_metrics_by_target,
+    "auc_by_fold": q_auc_by_fold,
+    "minmax_scaled": q_minmax_scaled,
 }

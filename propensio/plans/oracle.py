@@ -95,3 +95,35 @@ fm AS (
   SELECT f.ID, f.stratified_fold, {features_select('f')},
          CAST(f.{target} AS INTEGER) AS label
   FROM folded f CROSS JOIN st)"""
+
+
+def matrix2_cte() -> str:
+    """``fm2``: like ``fm`` with both labels kept (no ``label`` column)."""
+    return folds_ctes() + stats_cte() + f""",
+fm2 AS (
+  SELECT f.ID, f.stratified_fold, {features_select('f')},
+         f.AccumulationInvestment, f.IncomeInvestment
+  FROM folded f CROSS JOIN st)"""
+
+
+def metrics_sql(scored: str, group: str) -> str:
+    """Five metrics per ``group`` over a CTE ``scored`` (group, score, label)."""
+    return f""",
+_per AS (SELECT {group}, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM {scored} GROUP BY {group}, score),
+_pb AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {group} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM _per),
+_auc AS (SELECT {group},
+                CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                     THEN CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) END AS auc
+         FROM _pb GROUP BY {group}),
+_conf AS (SELECT {group}, avg(power(score - label, 2)) AS brier,
+                 count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+                 count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS fp,
+                 count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn
+          FROM {scored} GROUP BY {group})
+SELECT {group},
+       round(_auc.auc, 4) AS ROC_AUC,
+       round(brier, 4) AS Brier_Score,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0), 4) AS Precision,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 4) AS Recall,
+       round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0), 4) AS F1_Score
+FROM _auc JOIN _conf USING ({group})"""

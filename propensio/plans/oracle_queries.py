@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from propensio.functions.scores import probe_score_sql
 from propensio.plans.oracle import (
     BASE,
+    matrix2_cte,
+    metrics_sql,
     FEATURES,
     INT_FEATURES,
     R,
@@ -72,3 +75,26 @@ SELECT ID, Age,
        CAST(coalesce(CAST((Age > 35 AND Age <= 55) AS INTEGER), 0) AS INTEGER) AS Age_bracket_Mid,
        CAST(coalesce(CAST((Age > 55 AND Age <= 100) AS INTEGER), 0) AS INTEGER) AS Age_bracket_Senior
 FROM clients"""
+
+ORACLE["metrics_by_target"] = matrix2_cte() + f""",
+_sc AS (SELECT *, {probe_score_sql()} AS score FROM fm2 WHERE stratified_fold = -1),
+scored AS (
+  SELECT 'AccumulationInvestment' AS target, score, CAST(AccumulationInvestment AS INTEGER) AS label FROM _sc
+  UNION ALL
+  SELECT 'IncomeInvestment' AS target, score, CAST(IncomeInvestment AS INTEGER) AS label FROM _sc)""" + metrics_sql("scored", "target")
+
+ORACLE["auc_by_fold"] = matrix_cte() + f""",
+scored AS (SELECT stratified_fold AS fold, {probe_score_sql()} AS score, label FROM fm WHERE stratified_fold >= 0)""" + metrics_sql(
+    "scored", "fold"
+)
+
+_SCALE = ", ".join(
+    f"CAST(min({c}) AS DOUBLE) AS mn_{c}, CAST(max({c}) AS DOUBLE) AS mx_{c}" for c in FEATURES
+)
+_SCALED = ", ".join(
+    f"round((CAST(fm.{c} AS DOUBLE) - mm.mn_{c}) / (CASE WHEN mm.mx_{c} = mm.mn_{c} THEN 1.0 ELSE mm.mx_{c} - mm.mn_{c} END), {R}) AS {c}"
+    for c in FEATURES
+)
+ORACLE["minmax_scaled"] = matrix_cte() + f""",
+mm AS (SELECT {_SCALE} FROM fm WHERE stratified_fold >= 0)
+SELECT fm.ID, {_SCALED}, fm.label FROM fm CROSS JOIN mm WHERE fm.stratified_fold = -1"""
