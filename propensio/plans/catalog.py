@@ -177,6 +177,67 @@ def q_minmax_scaled(spark, sf_dir):
     return round_doubles(scaled)
 
 
+def q_isotonic_calibration(spark, sf_dir):
+    """Isotonic fit of the probe score (2 places) on the train/val block."""
+    from propensio.functions.scores import probe_score
+    from propensio.operators.calibration import fit_isotonic, isotonic_points
+
+    fm, _ = feature_matrix(spark, sf_dir)
+    oof = splits.train_val_block(fm).select(F.round(probe_score(), 2).alias("raw_score"), "label")
+    iso = fit_isotonic(oof)
+    points = isotonic_points(oof).select("raw_score")
+    return round_doubles(iso.transform(points).select("raw_score", "score"))
+
+
+def probe_scored_test(spark, sf_dir):
+    from propensio.functions.scores import probe_score
+
+    frame, model = fitted_features(spark, sf_dir)
+    test = splits.test_block(frame).select(SPEC.id_col, *FSPEC.base_cols)
+    return frame, model, model.transform(test).withColumn("score", probe_score())
+
+
+def q_rejected_clients(spark, sf_dir):
+    """P10: test-block clients whose (probe) score is below the threshold."""
+    _, _, scored = probe_scored_test(spark, sf_dir)
+    return scored.where(F.col("score") < 0.5).select(SPEC.id_col, *FSPEC.base_cols, "score")
+
+
+def _cf_pieces(spark, sf_dir):
+    from propensio.functions.scores import probe_score
+    from propensio.operators import counterfactuals as cf
+
+    frame, model, scored = probe_scored_test(spark, sf_dir)
+    ranges = cf.training_ranges(splits.train_val_block(frame))
+    rejected = scored.where(F.col("score") < 0.5).select(
+        SPEC.id_col, *FSPEC.base_cols, (F.col("score") >= 0.5).cast("int").alias("orig_prediction")
+    )
+    base = list(FSPEC.base_cols)
+
+    def score_fn(cand: DataFrame) -> DataFrame:
+        return model.transform(cand).withColumn("score", probe_score())
+
+    return cf, ranges, rejected, score_fn, base
+
+
+def q_cf_candidates(spark, sf_dir):
+    """X7 + X8: every candidate of every rejected client that flips the class."""
+    cf, ranges, rejected, score_fn, base = _cf_pieces(spark, sf_dir)
+    cand = cf.candidates(rejected, ranges, n_candidates=CF_CANDIDATES)
+    scored = score_fn(cand).where(F.col("score") >= 0.5)
+    return round_doubles(scored.select(SPEC.id_col, "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score"))
+
+
+def q_counterfactuals(spark, sf_dir):
+    """Best 3 counterfactuals per rejected client."""
+    cf, ranges, rejected, score_fn, base = _cf_pieces(spark, sf_dir)
+    best = cf.generate(rejected, ranges, score_fn, k=3, n_candidates=CF_CANDIDATES)
+    return round_doubles(best.select(SPEC.id_col, "cf_rank", "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score"))
+
+
+CF_CANDIDATES = 200
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clients_view": q_clients_view,
     "freeze_folds": q_freeze_folds,
@@ -194,4 +255,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_by_target": q_metrics_by_target,
     "auc_by_fold": q_auc_by_fold,
     "minmax_scaled": q_minmax_scaled,
+    "isotonic_calibration": q_isotonic_calibration,
+    "rejected_clients": q_rejected_clients,
+    "cf_candidates": q_cf_candidates,
+    "counterfactuals": q_counterfactuals,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from propensio.functions.hashing import md5_uniform_sql
 from propensio.functions.scores import probe_score_sql
 from propensio.plans.oracle import (
     BASE,
+    features_select,
     matrix2_cte,
     metrics_sql,
     FEATURES,
@@ -98,3 +100,65 @@ _SCALED = ", ".join(
 ORACLE["minmax_scaled"] = matrix_cte() + f""",
 mm AS (SELECT {_SCALE} FROM fm WHERE stratified_fold >= 0)
 SELECT fm.ID, {_SCALED}, fm.label FROM fm CROSS JOIN mm WHERE fm.stratified_fold = -1"""
+
+ORACLE["isotonic_calibration"] = matrix_cte() + f""",
+g AS (SELECT round({probe_score_sql()}, 2) AS raw_score, sum(label) AS pos, count(*) AS cnt
+      FROM fm WHERE stratified_fold >= 0 GROUP BY 1),
+o AS (SELECT *, row_number() OVER (ORDER BY raw_score) AS i,
+             sum(pos) OVER (ORDER BY raw_score) AS cpos, sum(cnt) OVER (ORDER BY raw_score) AS ccnt FROM g),
+ab AS (SELECT a.i AS a, b.i AS b, CAST(b.cpos - a.cpos + a.pos AS DOUBLE) / CAST(b.ccnt - a.ccnt + a.cnt AS DOUBLE) AS m
+       FROM o a JOIN o b ON a.i <= b.i),
+per AS (SELECT o.i, o.raw_score, a, min(m) AS mn FROM o JOIN ab ON ab.a <= o.i AND ab.b >= o.i GROUP BY o.i, o.raw_score, a)
+SELECT round(raw_score, {R}) AS raw_score, round(max(mn), {R}) AS score FROM per GROUP BY raw_score"""
+
+_ST_TEST = folds_ctes() + stats_cte() + f""",
+tb AS (SELECT * FROM folded WHERE stratified_fold = -1),
+tf AS (SELECT f.ID, {features_select('f')} FROM tb f CROSS JOIN st),
+ts AS (SELECT tb.ID, {', '.join('tb.' + c for c in BASE)}, {probe_score_sql('tf')} AS score FROM tb JOIN tf USING (ID))"""
+
+ORACLE["rejected_clients"] = _ST_TEST + "\nSELECT ID, " + ", ".join(BASE) + " , score FROM ts WHERE score < 0.5"
+
+_VARY = ("Income", "Wealth", "FamilyMembers")
+
+
+def _cf_value(c: str) -> str:
+    u_mask = md5_uniform_sql("42", "'m'", "r.ID", "t.cand", f"'{c}'")
+    u_val = md5_uniform_sql("42", "'v'", "r.ID", "t.cand", f"'{c}'")
+    drawn = f"(rg.mn_{c} + {u_val} * (rg.mx_{c} - rg.mn_{c}))"
+    if c == "FamilyMembers":
+        drawn = f"CAST(round({drawn}) AS INTEGER)"
+    else:
+        drawn = f"CAST(round({drawn}, 2) AS DOUBLE)"
+    return f"CASE WHEN {u_mask} < 0.5 THEN {drawn} ELSE r.{c} END"
+
+
+_CF_BASE = _ST_TEST + f""",
+rg AS (SELECT {', '.join(f'CAST(min({c}) AS DOUBLE) AS mn_{c}, CAST(max({c}) AS DOUBLE) AS mx_{c}' for c in _VARY)}
+       FROM folded WHERE stratified_fold >= 0),
+r AS (SELECT * FROM ts WHERE score < 0.5),
+c0 AS (SELECT r.ID, t.cand, {', '.join('r.' + c for c in BASE if c not in _VARY)},
+              {', '.join(f'{_cf_value(c)} AS {c}' for c in _VARY)},
+              {', '.join(f'r.{c} AS old_{c}' for c in _VARY)},
+              {', '.join(f'rg.mx_{c} - rg.mn_{c} AS span_{c}' for c in _VARY)}
+       FROM r CROSS JOIN range(1, 201) t(cand) CROSS JOIN rg),
+c1 AS (SELECT *,
+              {' + '.join(f'CAST({c} IS DISTINCT FROM old_{c} AS INTEGER)' for c in _VARY)} AS n_changed,
+              {' + '.join(f'(CASE WHEN {c} IS DISTINCT FROM old_{c} THEN coalesce(abs(CAST({c} AS DOUBLE) - CAST(old_{c} AS DOUBLE)) / nullif(span_{c}, 0), 1.0) ELSE 0.0 END)' for c in _VARY)} AS distance
+       FROM c0),
+cf AS (SELECT f.ID, f.cand, f.Income AS v_Income, f.Wealth AS v_Wealth, f.FamilyMembers AS v_FamilyMembers, f.n_changed, f.distance,
+              {features_select('f')}
+       FROM c1 f CROSS JOIN st),
+cs AS (SELECT ID, cand, v_Income AS Income, v_Wealth AS Wealth, v_FamilyMembers AS FamilyMembers, n_changed, distance,
+              {probe_score_sql('cf')} AS score
+       FROM cf)"""
+
+ORACLE["cf_candidates"] = _CF_BASE + f"""
+SELECT ID, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed,
+       round(distance, {R}) AS distance, round(score, {R}) AS score
+FROM cs WHERE score >= 0.5"""
+
+ORACLE["counterfactuals"] = _CF_BASE + f""",
+rk AS (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY n_changed, distance, cand) AS cf_rank FROM cs WHERE score >= 0.5)
+SELECT ID, cf_rank, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed,
+       round(distance, {R}) AS distance, round(score, {R}) AS score
+FROM rk WHERE cf_rank <= 3"""
