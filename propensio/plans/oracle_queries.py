@@ -162,3 +162,45 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY n_changed, distance
 SELECT ID, cf_rank, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed,
        round(distance, {R}) AS distance, round(score, {R}) AS score
 FROM rk WHERE cf_rank <= 3"""
+
+import itertools as _it
+
+_PAIR = {}
+for _a, _b in _it.combinations(BASE, 2):
+    _PAIR[f"{_a}_plus_{_b}"] = f"(CAST({_a} AS DOUBLE) + CAST({_b} AS DOUBLE))"
+    _PAIR[f"{_a}_times_{_b}"] = f"(CAST({_a} AS DOUBLE) * CAST({_b} AS DOUBLE))"
+for _a, _b in _it.permutations(BASE, 2):
+    _PAIR[f"{_a}_div_{_b}"] = f"(CAST({_a} AS DOUBLE) / nullif(CAST({_b} AS DOUBLE), 0.0))"
+
+ORACLE["pairwise_features"] = matrix_cte() + "\nSELECT ID, " + ", ".join(
+    f"CASE WHEN abs({e}) >= 1e9 THEN {e} ELSE round({e}, {R}) END AS {n}" for n, e in _PAIR.items()) + f" FROM fm WHERE {_TEST}"
+
+
+def _pct(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN NULL ELSE round((rank() OVER (ORDER BY {c}) - 1 + "
+            f"(count(*) OVER (PARTITION BY {c}) + 1) / 2.0) / count({c}) OVER (), {R}) END AS {c}_percentile")
+
+
+ORACLE["percentile_feature"] = matrix_cte() + f"""
+SELECT ID, {_pct('Income')}, {_pct('Wealth')} FROM fm WHERE {_TV}"""
+
+_ALOIS = FEATURES[len(BASE):]
+_CORR_PAIRS = [(g, r) for g in _PAIR for r in _ALOIS]
+_GEN = ", ".join(f"{e} AS {n}" for n, e in _PAIR.items())
+
+
+def _corr(g: str, r: str) -> str:
+    return (f"covar_pop(CAST({g} AS DOUBLE), CAST({r} AS DOUBLE)) / nullif(stddev_pop(CAST({g} AS DOUBLE)) * "
+            f"stddev_pop(CAST({r} AS DOUBLE)), 0.0)")
+
+
+_CORR_AGG = ", ".join(f"{_corr(g, r)} AS c{i}" for i, (g, r) in enumerate(_CORR_PAIRS))
+_CORR_ROWS = "\nUNION ALL\n".join(
+    "SELECT '{g}' AS feature, greatest({cols}) AS m FROM cc".format(
+        g=g, cols=", ".join(f"abs(c{i})" for i, (gg, _r) in enumerate(_CORR_PAIRS) if gg == g))
+    for g in _PAIR)
+ORACLE["corr_dedup"] = matrix_cte() + f""",
+gen AS (SELECT *, {_GEN} FROM fm WHERE {_TV}),
+cc AS (SELECT {_CORR_AGG} FROM gen),
+mx AS ({_CORR_ROWS})
+SELECT feature, round(m, {R}) AS max_abs_corr, CASE WHEN m IS NOT NULL AND m > 0.9 THEN false ELSE true END AS kept FROM mx"""
