@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from propensio.config import DataSpec, FeatureSpec
 from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
-from propensio.session import ensure_checkpoint_dir
+from propensio.session import materialize as materialize_table
 from propensio.sources.tables import clients_view
 
 SPEC = DataSpec()
@@ -43,14 +43,13 @@ def round_doubles(df: DataFrame, digits: int = REPORT_DIGITS) -> DataFrame:
 def folded(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC, materialize: bool = True) -> DataFrame:
     """The frozen client table (folds assigned).
 
-    Like the reference's frozen file, it is materialised once (a reliable
-    checkpoint in the session's shared checkpoint folder), so the fits and
-    reports that follow read it instead of re-running the fold plan.
+    Like the reference's frozen file, it is written once (Parquet partitioned
+    by fold, in the session's shared checkpoint folder), so the fits and
+    reports that follow read it, with the fold filter pruning partitions.
     """
     frame = splits.assign_folds(clients_view(spark, sf_dir), spec)
     if materialize:
-        ensure_checkpoint_dir(spark)
-        frame = frame.checkpoint(eager=True)
+        frame = materialize_table(frame, "frozen", [spec.fold_col])
     return frame
 
 

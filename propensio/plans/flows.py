@@ -62,7 +62,10 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
     n_rows = raw.count()
     quality.check_min_rows(n_rows, spec)
     frozen = splits.assign_folds(raw, spec)
-    frozen.write.mode("overwrite").format(settings.frozen_format).save(path)
+    writer = frozen.write.mode("overwrite").format(settings.frozen_format)
+    if settings.frozen_format == "parquet":
+        writer = writer.partitionBy(spec.fold_col)  # blocks and folds prune partitions
+    writer.save(path)
     stored = read_table(spark, path, settings.frozen_format)
     num, den, is_fraction = splits.test_fraction(spec)
     expected = -(-n_rows * num // den) if is_fraction else num

@@ -55,3 +55,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but keeps a columnar source: later
+    plans get column pruning, pushed filters and (with ``partition_by``)
+    partition pruning on the written table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
