@@ -243,37 +243,69 @@ def shap_summary(contrib: DataFrame) -> DataFrame:
 # additive family
 # ---------------------------------------------------------------------------
 
-def additive_shape(base: PipelineModel) -> tuple[Bucketizer, dict[str, list[float]], float]:
-    """Bin edges model, per-feature bin scores (coefficients) and intercept."""
-    disc = next(s for s in base.stages if isinstance(s, Bucketizer))
-    lr = next(s for s in base.stages if isinstance(s, LogisticRegressionModel))
+def _flat_stages(model) -> list:
+    out = []
+    for st in getattr(model, "stages", [model]):
+        out.extend(_flat_stages(st) if isinstance(st, PipelineModel) else [st])
+    return out
+
+
+def additive_shape(base: PipelineModel) -> tuple[list, dict[str, list[float]], list[str]]:
+    """Bucketizers, per-term slot scores (coefficients, dropped slot = 0), term columns.
+
+    Terms are the main-effect bin columns and, when fitted, the pair-cell
+    columns ('a__x__b'); their order is the order of the assembled one-hots.
+    """
+    stages = _flat_stages(base)
+    buckets = [s for s in stages if isinstance(s, Bucketizer)]
+    encoders = [s for s in stages if type(s).__name__ == "OneHotEncoderModel"]
+    lr = next(s for s in reversed(stages) if isinstance(s, LogisticRegressionModel))
+    assembler = [s for s in stages if isinstance(s, VectorAssembler)][-1]
     coef = lr.coefficients.toArray()
-    features = disc.getInputCols()
-    splits_list = disc.getSplitsArray()
+    sizes, index_col = {}, {}
+    for enc in encoders:
+        sizes.update(zip(enc.getOutputCols(), enc.categorySizes))
+        index_col.update(zip(enc.getOutputCols(), enc.getInputCols()))
     scores: dict[str, list[float]] = {}
+    terms = []
     pos = 0
-    for f, sp in zip(features, splits_list):
-        n_bins = len(sp) - 1 + 1  # plus the 'invalid' bucket kept by handleInvalid=keep
-        size = n_bins - 1  # dropLast
-        scores[f] = [float(v) for v in coef[pos:pos + size]] + [0.0]
+    for oh in assembler.getInputCols():
+        size = sizes[oh]
+        src = index_col[oh]
+        # handleInvalid=keep adds an 'invalid' slot and dropLast drops it, so
+        # every seen category has a coefficient and the invalid one scores 0
+        scores[src] = [float(v) for v in coef[pos:pos + size]] + [0.0]
+        terms.append(src)
         pos += size
-    return disc, scores, float(lr.intercept)
+    return buckets, scores, terms
+
+
+def _term_name(col: str) -> str:
+    if "__x__" in col:
+        a, b = col.split("__x__")
+        return f"{a} x {b}"
+    return col.rsplit("__bin", 1)[0]
 
 
 def additive_terms(base: PipelineModel, df: DataFrame, id_col: str = "ID") -> tuple[DataFrame, DataFrame]:
-    """(shape table (feature, bin, score), importance (feature, mean_abs_contribution))."""
+    """(shape table (term, slot, score), importance (feature, mean_abs_contribution)).
+
+    A row's contribution of a term is the coefficient of the slot it falls in
+    (a lookup array of at most bins+1 or (k+1)^2 literals per term).
+    """
     spark = df.sparkSession
-    disc, scores, _ = additive_shape(base)
+    _buckets, scores, terms = additive_shape(base)
     shape = spark.createDataFrame(
-        [(f, i, s) for f, sc in scores.items() for i, s in enumerate(sc)],
+        [(_term_name(t), i, s) for t in terms for i, s in enumerate(scores[t])],
         "feature string, bin int, score double",
     )
-    binned = disc.transform(df)
+    prepared = base.transform(df)
     entries = []
-    for f, out_col in zip(disc.getInputCols(), disc.getOutputCols()):
-        lut = F.array(*[F.lit(v) for v in scores[f]])  # at most max_bins + 1 entries
-        entries.append(F.struct(F.lit(f).alias("feature"), F.element_at(lut, F.col(out_col).cast("int") + 1).alias("contribution")))
-    long = binned.select(id_col, F.explode(F.array(*entries)).alias("e")).select(id_col, "e.feature", "e.contribution")
+    for t in terms:
+        lut = F.array(*[F.lit(v) for v in scores[t]])
+        idx = F.least(F.col(t).cast("int"), F.lit(len(scores[t]) - 1)) + 1
+        entries.append(F.struct(F.lit(_term_name(t)).alias("feature"), F.element_at(lut, idx).alias("contribution")))
+    long = prepared.select(id_col, F.explode(F.array(*entries)).alias("e")).select(id_col, "e.feature", "e.contribution")
     importance = long.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
     return shape, importance
 

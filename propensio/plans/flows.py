@@ -221,4 +221,19 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
                        seed=spec.seed, id_col=spec.id_col, threshold=settings.threshold)
     out = best.select(spec.id_col, "cf_rank", "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score")
     out.write.mode("overwrite").json(f"{settings.artifacts_dir}/counterfactuals")
+    if explanation is not None:  # S16: the table behind the plot
+        explanation.write.mode("overwrite").parquet(f"{settings.artifacts_dir}/explanation_{settings.family}")
     return {"explanation": explanation, "counterfactuals": out}
+
+
+ACTIONS = ("data_prep", "train", "tune", "evaluate", "audit")
+
+
+def run_action(action: str, spark: SparkSession, settings: Settings, **kwargs):
+    """Dispatch one of the five actions by name (V9: unknown → ValueError)."""
+    table = {"data_prep": data_prep, "train": train, "tune": tune, "evaluate": evaluate, "audit": audit}
+    if action not in table:
+        raise ValueError(f"Unknown pipeline action: '{action}'.")
+    if action == "data_prep":
+        return data_prep(spark, kwargs.pop("source"), settings, kwargs.pop("out_dir"), **kwargs)
+    return table[action](spark, settings, **kwargs)

@@ -102,3 +102,30 @@ def write_json_rows(df: DataFrame, path: str, local_copy: str | None = None) ->
         with open(local_copy, "w") as fh:
             json.dump(rows[0] if len(rows) == 1 else rows, fh, indent=2)
     return path
+
+
+class ClientLoader:
+    """Idempotent, cached load of the frozen (or raw) client table.
+
+    The cache is keyed by (path, use_frozen), so asking for the other source
+    reads it instead of returning the first one.
+    """
+
+    def __init__(self, spark: SparkSession, frozen_path: str, raw_path: str | None = None, fmt: str | None = None):
+        self.spark = spark
+        self.paths = {True: frozen_path, False: raw_path}
+        self.fmt = fmt
+        self._cache: dict = {}
+
+    def load(self, use_frozen: bool = True) -> DataFrame:
+        key = (self.paths[use_frozen], use_frozen)
+        if key not in self._cache:
+            if key[0] is None:
+                raise FileNotFoundError("No raw table path configured.")
+            self._cache[key] = read_client_file(self.spark, key[0], use_frozen, self.fmt).persist()
+        return self._cache[key]
+
+    def clear(self) -> None:
+        for df in self._cache.values():
+            df.unpersist()
+        self._cache.clear()
