@@ -8,19 +8,23 @@ method here needs two passes and never more than a bracket of values:
 1. one aggregate: count, min, max and ``percentile_approx`` just below and just
    above each wanted probability (rank error at most n/accuracy);
 2. one aggregate over the rows inside each bracket: ``groupBy(column, value)
-   .count()`` (ties collapse), plus one count of the rows below the bracket.
+   .count()`` (ties collapse), plus one count of the rows below the bracket;
+   a running count over each bracket picks the values at the two ranks
+   around (n-1)·p.
 
-The driver then walks the short sorted list of (value, count) and interpolates
-linearly at position (n-1)·p, the same rule as SQL ``quantile_cont`` and
+The driver interpolates linearly at position (n-1)·p, the same rule as SQL
+``quantile_cont`` and
 Spark ``percentile``. If the approximate ranks ever miss, the bracket is
 widened and pass 2 repeated. The result equals Spark's exact ``percentile``.
+Only two rows per requested quantile reach the driver; the sorted running
+count runs per request over the bracket (about 6·n/accuracy distinct values).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,22 +34,7 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def _interpolate(pairs: list[tuple[float, int]], below: int, n: int, p: float) -> float | None:
-    """Exact quantile from the sorted (value, count) pairs of a bracket."""
-    pos = (n - 1) * p
-    lo_i, hi_i = math.floor(pos), math.ceil(pos)
-
-    def value_at(rank: int) -> float | None:
-        r = rank - below
-        if r < 0:
-            return None
-        for value, cnt in pairs:
-            if r < cnt:
-                return value
-            r -= cnt
-        return None
-
-    lo_v, hi_v = value_at(lo_i), value_at(hi_i)
+def _interpolate(lo_v: float | None, hi_v: float | None, lo_i: int, hi_i: int, pos: float) -> float | None:
     if lo_v is None or hi_v is None:
         return None
     if lo_i == hi_i:
@@ -95,9 +84,10 @@ def exact_quantiles(df: DataFrame, requests: dict[str, list[float]], accuracy: i
     while pending:
         found = _bracket_pass(df, pending)
         retry = []
-        for item, (pairs, below) in zip(pending, found):
+        for item, (lo_v, hi_v) in zip(pending, found):
             c, p, lo, hi, n, mn, mx = item
-            value = _interpolate(pairs, below, n, p)
+            pos = (n - 1) * p
+            value = _interpolate(lo_v, hi_v, math.floor(pos), math.ceil(pos), pos)
             if value is None:
                 retry.append(item)
             else:
@@ -114,8 +104,14 @@ def exact_quantiles(df: DataFrame, requests: dict[str, list[float]], accuracy: i
     return out
 
 
-def _bracket_pass(df: DataFrame, items: list) -> list[tuple[list[tuple[float, int]], int]]:
-    """Pass 2: (value, count) inside each bracket and the count below it."""
+def _bracket_pass(df: DataFrame, items: list) -> list[tuple[float | None, float | None]]:
+    """Pass 2: the values at ranks floor((n-1)p) and ceil((n-1)p), found inside each bracket.
+
+    Rows inside a bracket collapse to (value, count); rows below it to one
+    count. A running count over the (short) sorted bracket, partitioned by
+    request, locates the two wanted ranks; only those rows reach the driver.
+    """
+    spark = df.sparkSession
     entries = []
     for i, (c, _p, lo, hi, _n, _mn, _mx) in enumerate(items):
         x = F.col(c).cast("double")
@@ -125,15 +121,27 @@ def _bracket_pass(df: DataFrame, items: list) -> list[tuple[list[tuple[float, in
         )
     exploded = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
     counts = exploded.groupBy(F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    rows = counts.collect()  # bounded: brackets hold about 6·n/accuracy rows
-    pairs: dict[int, list] = {i: [] for i in range(len(items))}
-    below: dict[int, int] = {i: 0 for i in range(len(items))}
+    below = counts.where(F.col("v").isNull()).select("i", F.col("k").alias("below"))
+    inside = counts.where(F.col("v").isNotNull())
+    upto = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("cum", F.sum("k").over(upto))
+    wanted = spark.createDataFrame(
+        [(i, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for i, (_c, p, _lo, _hi, n, _mn, _mx) in enumerate(items)],
+        "i int, r_lo long, r_hi long",
+    )
+    with_below = ranked.join(below, "i", "left").join(wanted, "i", "inner")  # tiny tables, by request id
+    first = F.coalesce(F.col("below"), F.lit(0)) + F.col("cum") - F.col("k")  # 0-based rank of the first copy
+    last = first + F.col("k") - 1
+    hit_lo = (F.col("r_lo") >= first) & (F.col("r_lo") <= last)
+    hit_hi = (F.col("r_hi") >= first) & (F.col("r_hi") <= last)
+    rows = with_below.where(hit_lo | hit_hi).select("i", "v", hit_lo.alias("is_lo"), hit_hi.alias("is_hi")).collect()
+    found: dict[int, list] = {i: [None, None] for i in range(len(items))}
     for r in rows:
-        if r["v"] is None:
-            below[r["i"]] += r["k"]
-        else:
-            pairs[r["i"]].append((r["v"], r["k"]))
-    return [(sorted(pairs[i]), below[i]) for i in range(len(items))]
+        if r["is_lo"]:
+            found[r["i"]][0] = r["v"]
+        if r["is_hi"]:
+            found[r["i"]][1] = r["v"]
+    return [tuple(found[i]) for i in range(len(items))]
 
 
 def spark_exact_quantiles(df: DataFrame, requests: dict[str, list[float]]) -> dict[tuple[str, float], float | None]:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from propensio.config import DataSpec, FeatureSpec
 from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
+from propensio.session import cut_lineage
 from propensio.session import materialize as materialize_table
 from propensio.sources.tables import clients_view
 
@@ -47,10 +48,12 @@ def folded(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC, materialize:
     by fold, in the session's shared checkpoint folder), so the fits and
     reports that follow read it, with the fold filter pruning partitions.
     """
-    frame = splits.assign_folds(clients_view(spark, sf_dir), spec)
-    if materialize:
-        frame = materialize_table(frame, "frozen", [spec.fold_col])
-    return frame
+    if not materialize:
+        return splits.assign_folds(clients_view(spark, sf_dir), spec)
+    # the view is written first: the fold plan reads its input twice (bucket
+    # counts, then ranks), and re-aggregating all orders twice costs more
+    clients = materialize_table(clients_view(spark, sf_dir), "clients")
+    return materialize_table(splits.assign_folds(clients, spec), "frozen", [spec.fold_col])
 
 
 def fitted_features(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC) -> tuple[DataFrame, FeatureModel]:
@@ -275,7 +278,7 @@ def q_corr_dedup(spark, sf_dir):
     fm, _ = feature_matrix(spark, sf_dir)
     exprs = pairwise_exprs(list(FSPEC.base_cols))
     # materialise the 93 columns once: the pair aggregate then reads plain columns
-    tv = splits.train_val_block(fm).select(*ALOIS, *[e.alias(n) for n, e in exprs.items()]).checkpoint(eager=True)
+    tv = cut_lineage(splits.train_val_block(fm).select(*ALOIS, *[e.alias(n) for n, e in exprs.items()]))
     return round_doubles(correlation_filter(tv, list(exprs), ALOIS))
 
 
@@ -285,7 +288,7 @@ def _both_targets(spark, sf_dir, family: str, calibration: str = "isotonic"):
     from propensio.operators.metrics import binary_metrics
     from propensio.operators.models import PropensityModel
 
-    fm = both_label_matrix(spark, sf_dir).checkpoint(eager=True)
+    fm = cut_lineage(both_label_matrix(spark, sf_dir))
 
     def one(target):
         data = fm.withColumn("label", F.col(target).cast("int"))
@@ -324,7 +327,7 @@ def _explained_model(spark, sf_dir, family):
     from propensio.operators.models import PropensityModel
 
     fm, _ = feature_matrix(spark, sf_dir)
-    fm = fm.checkpoint(eager=True)
+    fm = cut_lineage(fm)
     model = PropensityModel(family, calibration="none", tree_scale=CHECK_TREE_SCALE).fit(splits.train_val_block(fm))
     return fm, model
 
@@ -370,7 +373,7 @@ def q_boruta_selection(spark, sf_dir):
     from propensio.operators.synthesis import boruta
 
     fm, _ = feature_matrix(spark, sf_dir)
-    tv = splits.train_val_block(fm).checkpoint(eager=True)
+    tv = cut_lineage(splits.train_val_block(fm))
     return boruta(tv, FSPEC.feature_cols, rounds=3, n_trees=20)
 
 

@@ -20,6 +20,7 @@ from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
 from propensio.operators.metrics import binary_metrics
 from propensio.operators.models import PropensityModel, model_file_name
+from propensio.session import cut_lineage
 from propensio.sources.files import read_client_file, read_table, write_json_rows
 
 log = logging.getLogger(__name__)
@@ -143,7 +144,7 @@ def train(spark: SparkSession, settings: Settings) -> DataFrame:
     perf = reports[0]
     for r in reports[1:]:
         perf = perf.unionByName(r)
-    perf = perf.checkpoint(eager=True)
+    perf = cut_lineage(perf)
     write_json_rows(perf, f"{settings.artifacts_dir}/{settings.family}_performance")
     return perf
 

@@ -73,3 +73,9 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the session's shared checkpoint folder (eager)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
