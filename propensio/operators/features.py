@@ -13,6 +13,7 @@ Output: the non-feature columns of the input (id, label, fold, ...) followed by
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -37,6 +38,8 @@ from propensio.functions.features import (
 )
 from propensio.operators.stats import numeric_columns, quantiles
 
+log = logging.getLogger(__name__)
+
 
 class _FeatureParams(Params):
     baseCols = Param(Params._dummy(), "baseCols", "raw feature columns", TypeConverters.toListString)
@@ -147,6 +150,9 @@ class FeatureModel(Model, _FeatureParams, DefaultParamsReadable, DefaultParamsWr
         exprs = self.feature_exprs(df)
         wanted = self.featureCols()
         present = [c for c in wanted if c in exprs]
+        missing = [c for c in wanted if c not in exprs]
+        if missing:
+            log.warning("FeatureModel: %d expected feature(s) missing after transform: %s", len(missing), missing)
         feature_set = set(wanted) | set(self.getOrDefault(self.baseCols))
         passthrough = [F.col(f"`{c}`") for c in df.columns if c not in feature_set]
         return df.select(*passthrough, *[exprs[c].alias(c) for c in present])

@@ -64,6 +64,8 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
     quality.check_min_rows(n_rows, spec)
     frozen = splits.assign_folds(raw, spec)
     writer = frozen.write.mode("overwrite").format(settings.frozen_format)
+    if settings.frozen_format == "csv":
+        writer = writer.option("header", True)
     if settings.frozen_format == "parquet":
         writer = writer.partitionBy(spec.fold_col)  # blocks and folds prune partitions
     writer.save(path)

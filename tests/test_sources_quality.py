@@ -52,3 +52,20 @@ def test_freeze_flow_reuses_stored_table(spark, tmp_path):
     assert first.where(F.col("stratified_fold") == -1).count() == 300
     again = freeze(spark, "/nonexistent.parquet", settings)  # exists → not recomputed
     assert sorted(again.select("ID", "stratified_fold").collect()) == sorted(first.select("ID", "stratified_fold").collect())
+
+
+def test_loader_cache_is_keyed_by_source(spark, tmp_path):
+    from propensio.sources.files import ClientLoader
+
+    frozen = tmp_path / "frozen.parquet"
+    raw = tmp_path / "raw.parquet"
+    clients_view(spark, SF_MID).limit(10).write.parquet(str(frozen))
+    clients_view(spark, SF_MID).limit(5).write.parquet(str(raw))
+    loader = ClientLoader(spark, str(frozen), str(raw))
+    a = loader.load()
+    assert loader.load() is a
+    assert loader.load(use_frozen=False).count() == 5
+    assert a.count() == 10
+    loader.clear()
+    with pytest.raises(FileNotFoundError):
+        ClientLoader(spark, str(tmp_path / "nope.parquet")).load()
