@@ -67,7 +67,7 @@ class FeatureSpec:
     base_cols: tuple[str, ...] = BASE_COLS
     engineered_cols: tuple[str, ...] = ENGINEERED_COLS
     quantile_method: str = "exact"
-    quantile_accuracy: int = 100_000
+    quantile_accuracy: int = 20_000
     extra: dict = field(default_factory=dict)
 
     @property

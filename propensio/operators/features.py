@@ -55,7 +55,7 @@ class _FeatureParams(Params):
             engineeredCols=list(ENGINEERED_COLS),
             excludeCols=[ID_COL, FOLD_COL, *TARGET_COLS, "label"],
             quantileMethod="exact",
-            accuracy=100_000,
+            accuracy=20_000,
         )
 
     def featureCols(self) -> list[str]:

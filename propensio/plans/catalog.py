@@ -18,6 +18,7 @@ from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
 from propensio.session import cut_lineage
 from propensio.session import materialize as materialize_table
+from propensio.session import write_work_table
 from propensio.sources.tables import clients_view
 
 SPEC = DataSpec()
@@ -50,18 +51,35 @@ def folded(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC, materialize:
     """
     if not materialize:
         return splits.assign_folds(clients_view(spark, sf_dir), spec)
+    key = _artifact_key(spark, sf_dir, spec)
+    if key in _FROZEN:  # freeze once per application (the reference's skip-if-frozen)
+        return spark.read.parquet(_FROZEN[key])
     # the view is written first: the fold plan reads its input twice (bucket
     # counts, then ranks), and re-aggregating all orders twice costs more
     clients = materialize_table(clients_view(spark, sf_dir), "clients")
-    return materialize_table(splits.assign_folds(clients, spec), "frozen", [spec.fold_col])
+    _FROZEN[key] = write_work_table(splits.assign_folds(clients, spec), "frozen", [spec.fold_col])
+    return spark.read.parquet(_FROZEN[key])
+
+
+# Artifacts made once per Spark application and source: the frozen table and
+# the feature model fitted on its train block (steps read them, never refit).
+_FROZEN: dict = {}
+_FEATURES: dict = {}
+
+
+def _artifact_key(spark: SparkSession, sf_dir: str, spec: DataSpec) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spec)
+
 
 
 def fitted_features(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC) -> tuple[DataFrame, FeatureModel]:
     """Frozen table and the feature model fitted on its train/val block."""
     frame = folded(spark, sf_dir, spec)
-    train = splits.train_val_block(frame, spec).select(*FSPEC.base_cols)
-    model = FeatureEngineer(quantileMethod=FSPEC.quantile_method, accuracy=FSPEC.quantile_accuracy).fit(train)
-    return frame, model
+    key = _artifact_key(spark, sf_dir, spec)
+    if key not in _FEATURES:  # fitted once per frozen table, like a saved feature model
+        train = splits.train_val_block(frame, spec).select(*FSPEC.base_cols)
+        _FEATURES[key] = FeatureEngineer(quantileMethod=FSPEC.quantile_method, accuracy=FSPEC.quantile_accuracy).fit(train)
+    return frame, _FEATURES[key]
 
 
 def feature_matrix(spark: SparkSession, sf_dir: str, target: str | None = None, spec: DataSpec = SPEC) -> tuple[DataFrame, FeatureModel]:

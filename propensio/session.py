@@ -57,6 +57,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def write_work_table(df, name: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as Parquet under the shared checkpoint folder; return the path."""
+    import uuid
+
+    path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return path
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -64,15 +76,7 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     plans get column pruning, pushed filters and (with ``partition_by``)
     partition pruning on the written table.
     """
-    import uuid
-
-    spark = df.sparkSession
-    path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(write_work_table(df, name, partition_by))
 
 
 def cut_lineage(df):
