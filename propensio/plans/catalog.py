@@ -228,6 +228,14 @@ def q_rejected_clients(spark, sf_dir):
     return scored.where(F.col("score") < 0.5).select(SPEC.id_col, *FSPEC.base_cols, "score")
 
 
+def q_hard_predictions(spark, sf_dir):
+    """Score ≥ threshold → 1 on the blind block, per client."""
+    from propensio.operators.metrics import hard_prediction
+
+    _, _, scored = probe_scored_test(spark, sf_dir)
+    return scored.select(SPEC.id_col, "score", hard_prediction(F.col("score"), 0.5).alias("prediction"))
+
+
 def _cf_pieces(spark, sf_dir):
     from propensio.functions.scores import probe_score
     from propensio.operators import counterfactuals as cf
@@ -310,7 +318,7 @@ def _both_targets(spark, sf_dir, family: str, calibration: str = "isotonic"):
 
     def one(target):
         data = fm.withColumn("label", F.col(target).cast("int"))
-        model = PropensityModel(family, calibration=calibration, tree_scale=CHECK_TREE_SCALE, parallelism=5)
+        model = PropensityModel(family, calibration=calibration, tree_scale=CHECK_TREE_SCALE, parallelism=6)
         model.fit(splits.train_val_block(data))
         scored = model.predict_proba(splits.test_block(data))
         return binary_metrics(scored).select(F.lit(target).alias("target"), F.lit(family).alias("family"), "*")
@@ -414,6 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minmax_scaled": q_minmax_scaled,
     "isotonic_calibration": q_isotonic_calibration,
     "rejected_clients": q_rejected_clients,
+    "hard_predictions": q_hard_predictions,
     "cf_candidates": q_cf_candidates,
     "counterfactuals": q_counterfactuals,
     "pairwise_features": q_pairwise_features,

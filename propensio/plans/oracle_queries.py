@@ -118,6 +118,9 @@ ts AS (SELECT tb.ID, {', '.join('tb.' + c for c in BASE)}, {probe_score_sql('tf'
 
 ORACLE["rejected_clients"] = _ST_TEST + "\nSELECT ID, " + ", ".join(BASE) + " , score FROM ts WHERE score < 0.5"
 
+ORACLE["hard_predictions"] = _ST_TEST + """
+SELECT ID, score, CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM ts"""
+
 _VARY = ("Income", "Wealth", "FamilyMembers")
 
 
