@@ -7,15 +7,13 @@ are arguments; on a cluster they point to shared storage.
 
 from __future__ import annotations
 
-import json
 import logging
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensio.config import DEFAULT_THRESHOLD, DataSpec, FeatureSpec, TEST_FOLD
+from propensio.config import DEFAULT_THRESHOLD, DataSpec, FeatureSpec
 from propensio.operators import quality, splits
 from propensio.operators.features import FeatureEngineer, FeatureModel
 from propensio.operators.metrics import binary_metrics
