@@ -38,6 +38,8 @@ class Settings:
     tree_scale: float = 1.0
     parallelism: int = 2
     frozen_format: str = "parquet"
+    use_tuned_params: bool = False  # train with the best trial of `tune` (the reference never reads it back)
+    metrics_file: str | None = None  # optional one-file JSON copy of the evaluation metrics
 
 
 # ---------------------------------------------------------------------------
@@ -134,9 +136,11 @@ def train(spark: SparkSession, settings: Settings) -> DataFrame:
     features = fit_features(frozen, settings)
     features.write().overwrite().save(f"{settings.artifacts_dir}/feature_model")
     reports = []
+    tuned = tuned_params(spark, settings) if settings.use_tuned_params else {}
     for target in settings.data.target_cols:
         fm = xy_matrix(frozen, features, target, settings).persist()
-        model = _model(settings).fit(splits.train_val_block(fm, settings.data), id_col=settings.data.id_col)
+        params = {**settings.params, **tuned.get(target, {})}
+        model = _model(settings, params).fit(splits.train_val_block(fm, settings.data), id_col=settings.data.id_col)
         scored = model.predict_proba(splits.test_block(fm, settings.data))
         reports.append(binary_metrics(scored, threshold=settings.threshold).select(F.lit(target).alias("target"), "*"))
         model.save(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
@@ -149,6 +153,15 @@ def train(spark: SparkSession, settings: Settings) -> DataFrame:
     return perf
 
 
+def tuned_params(spark: SparkSession, settings: Settings) -> dict[str, dict]:
+    """Best trial parameters per target, as written by ``tune``."""
+    import json
+
+    path = f"{settings.artifacts_dir}/{settings.family}_best_params"
+    rows = spark.read.json(path).select("target", "params").collect()  # one row per target
+    return {r["target"]: json.loads(r["params"]) for r in rows}
+
+
 def evaluate(spark: SparkSession, settings: Settings, target: str | None = None) -> DataFrame:
     """Score the blind test block with a stored model; no refit of features."""
     target = target or settings.data.primary_target
@@ -157,7 +170,7 @@ def evaluate(spark: SparkSession, settings: Settings, target: str | None = None)
     model = PropensityModel.load(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
     fm = xy_matrix(splits.test_block(frozen, settings.data), features, target, settings)
     metrics = binary_metrics(model.predict_proba(fm), threshold=settings.threshold)
-    write_json_rows(metrics, f"{settings.artifacts_dir}/evaluation_metrics")
+    write_json_rows(metrics, f"{settings.artifacts_dir}/evaluation_metrics", local_copy=settings.metrics_file)
     return metrics
 
 

@@ -24,6 +24,16 @@ def test_actions_end_to_end(spark, tmp_path):
     best = flows.tune(spark, settings, n_trials=2).collect()
     assert len(best) == 2
 
+    settings.use_tuned_params = True
+    settings.metrics_file = str(tmp_path / "metrics.json")
+    assert set(flows.tuned_params(spark, settings)) == {"AccumulationInvestment", "IncomeInvestment"}
+    perf2 = flows.train(spark, settings).collect()
+    assert len(perf2) == 2
+    flows.evaluate(spark, settings)
+    import json
+
+    assert "ROC_AUC" in json.load(open(settings.metrics_file))
+
     out = flows.audit(spark, settings, n_candidates=50)
     summary = out["explanation"].collect()
     assert len(summary) == 16
