@@ -33,3 +33,24 @@ def test_entry_and_registry(spark):
     assert set(sql) <= set(qs)
     assert len(sql) >= 20
     assert not any(name.startswith("op") for name in qs)
+
+
+def test_stream_scoring_with_calibrated_model(spark, tmp_path):
+    from propensio.operators import splits
+    from propensio.operators.models import PropensityModel
+
+    frame, features = catalog.fitted_features(spark, SF_SMALL)
+    xy = frame.select("ID", *catalog.FSPEC.base_cols, F.col("IncomeInvestment").cast("int").alias("label"))
+    model = PropensityModel("random_forest", tree_scale=0.05, parallelism=5).fit(
+        features.transform(splits.train_val_block(frame).select(
+            "ID", *catalog.FSPEC.base_cols, F.col("IncomeInvestment").cast("int").alias("label"))))
+    src = str(tmp_path / "in2")
+    xy.write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    q = start_scoring(score_stream(stream, features, model=model), "memory", "scored_model", trigger_once=True)
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r["ID"], r["score"], r["prediction"]) for r in spark.sql("SELECT * FROM scored_model").collect())
+    batch = score_stream(spark.read.parquet(src), features, model=model)
+    want = sorted((r["ID"], r["score"], r["prediction"]) for r in batch.collect())
+    assert got == want and len(got) == 150
