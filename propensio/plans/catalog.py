@@ -275,7 +275,7 @@ CF_CANDIDATES = 200
 CHECK_TREE_SCALE = 0.05
 CHECK_TRIALS = 3
 
-ALOIS = list(FSPEC.engineered_cols)
+ENGINEERED = list(FSPEC.engineered_cols)
 
 
 def q_pairwise_features(spark, sf_dir):
@@ -304,8 +304,8 @@ def q_corr_dedup(spark, sf_dir):
     fm, _ = feature_matrix(spark, sf_dir)
     exprs = pairwise_exprs(list(FSPEC.base_cols))
     # materialise the 93 columns once: the pair aggregate then reads plain columns
-    tv = cut_lineage(splits.train_val_block(fm).select(*ALOIS, *[e.alias(n) for n, e in exprs.items()]))
-    return round_doubles(correlation_filter(tv, list(exprs), ALOIS))
+    tv = cut_lineage(splits.train_val_block(fm).select(*ENGINEERED, *[e.alias(n) for n, e in exprs.items()]))
+    return round_doubles(correlation_filter(tv, list(exprs), ENGINEERED))
 
 
 def _both_targets(spark, sf_dir, family: str, calibration: str = "isotonic"):

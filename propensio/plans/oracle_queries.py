@@ -187,8 +187,8 @@ def _pct(c: str) -> str:
 ORACLE["percentile_feature"] = matrix_cte() + f"""
 SELECT ID, {_pct('Income')}, {_pct('Wealth')} FROM fm WHERE {_TV}"""
 
-_ALOIS = FEATURES[len(BASE):]
-_CORR_PAIRS = [(g, r) for g in _PAIR for r in _ALOIS]
+_ENGINEERED = FEATURES[len(BASE):]
+_CORR_PAIRS = [(g, r) for g in _PAIR for r in _ENGINEERED]
 _GEN = ", ".join(f"{e} AS {n}" for n, e in _PAIR.items())
 
 
