@@ -62,6 +62,10 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
     quality.check_unique_ids(raw, spec.id_col)
     n_rows = raw.count()
     quality.check_min_rows(n_rows, spec)
+    num, den, is_fraction = splits.test_fraction(spec)
+    expected = -(-n_rows * num // den) if is_fraction else num
+    if not 0 < expected < n_rows:
+        raise ValueError(f"test_size={spec.test_size} gives {expected} test rows out of {n_rows}.")
     frozen = splits.assign_folds(raw, spec)
     writer = frozen.write.mode("overwrite").format(settings.frozen_format)
     if settings.frozen_format == "csv":
@@ -70,8 +74,6 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
         writer = writer.partitionBy(spec.fold_col)  # blocks and folds prune partitions
     writer.save(path)
     stored = read_table(spark, path, settings.frozen_format)
-    num, den, is_fraction = splits.test_fraction(spec)
-    expected = -(-n_rows * num // den) if is_fraction else num
     quality.verify_split(stored, spec, expected)
     for row in quality.parity_report(stored, spec).collect():
         level = logging.INFO if row["ok"] else logging.WARNING

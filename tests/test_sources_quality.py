@@ -69,3 +69,12 @@ def test_loader_cache_is_keyed_by_source(spark, tmp_path):
     loader.clear()
     with pytest.raises(FileNotFoundError):
         ClientLoader(spark, str(tmp_path / "nope.parquet")).load()
+
+
+def test_freeze_rejects_impossible_test_size(spark, tmp_path):
+    from propensio.plans.flows import Settings, freeze
+
+    settings = Settings(frozen_path=str(tmp_path / "f.parquet"), artifacts_dir=str(tmp_path / "a"),
+                        data=DataSpec(test_size=5000))
+    with pytest.raises(ValueError):
+        freeze(spark, clients_view(spark, SF_MID), settings)
