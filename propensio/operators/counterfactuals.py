@@ -71,6 +71,19 @@ def candidates(queries: DataFrame, ranges: dict[str, tuple[float, float]], n_can
     return out.select(*keep, *[e.alias(f) for f, e in new_cols.items()], n_changed.alias("n_changed"), distance.alias("distance"))
 
 
+def score_keeping_inputs(cand: DataFrame, transform: Callable[[DataFrame], DataFrame], base_cols: list[str]) -> DataFrame:
+    """Apply ``transform`` (features → score) but keep the candidate's raw values.
+
+    The feature model imputes and replaces the base columns; a counterfactual
+    reports the values a client would have, so the raw ones are carried over.
+    """
+    present = [c for c in base_cols if c in cand.columns]
+    carried = cand.select("*", *[F.col(c).alias(f"_raw_{c}") for c in present])
+    out = transform(carried)
+    keep = [c for c in out.columns if c not in present and not c.startswith("_raw_")]
+    return out.select(*keep, *[F.col(f"_raw_{c}").alias(c) for c in present])
+
+
 def best_counterfactuals(scored: DataFrame, desired: Column, k: int = 3, id_col: str = "ID") -> DataFrame:
     """X8 + X9: keep candidates of the wanted class, best k per query row."""
     kept = scored.where(desired)

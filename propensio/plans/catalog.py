@@ -215,11 +215,15 @@ def q_isotonic_calibration(spark, sf_dir):
 
 
 def probe_scored_test(spark, sf_dir):
+    """Blind-block clients with their raw base columns and the probe score."""
     from propensio.functions.scores import probe_score
 
     frame, model = fitted_features(spark, sf_dir)
-    test = splits.test_block(frame).select(SPEC.id_col, *FSPEC.base_cols)
-    return frame, model, model.transform(test).withColumn("score", probe_score())
+    raw = [F.col(c).alias(f"raw__{c}") for c in FSPEC.base_cols]
+    test = splits.test_block(frame).select(SPEC.id_col, *FSPEC.base_cols, *raw)
+    scored = model.transform(test).withColumn("score", probe_score())
+    scored = scored.select(SPEC.id_col, *[F.col(f"raw__{c}").alias(c) for c in FSPEC.base_cols], "score")
+    return frame, model, scored
 
 
 def q_rejected_clients(spark, sf_dir):
@@ -248,7 +252,7 @@ def _cf_pieces(spark, sf_dir):
     base = list(FSPEC.base_cols)
 
     def score_fn(cand: DataFrame) -> DataFrame:
-        return model.transform(cand).withColumn("score", probe_score())
+        return cf.score_keeping_inputs(cand, lambda d: model.transform(d).withColumn("score", probe_score()), base)
 
     return cf, ranges, rejected, score_fn, base
 

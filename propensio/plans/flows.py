@@ -242,7 +242,8 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
         spec.id_col, *settings.features.base_cols, F.lit(0).alias("orig_prediction"))
 
     def score_fn(cand: DataFrame) -> DataFrame:
-        return model.predict_proba(features.transform(cand))
+        return cf.score_keeping_inputs(cand, lambda d: model.predict_proba(features.transform(d)),
+                                       list(settings.features.base_cols))
 
     best = cf.generate(queries, ranges, score_fn, k=n_counterfactuals, n_candidates=n_candidates,
                        seed=spec.seed, id_col=spec.id_col, threshold=settings.threshold)

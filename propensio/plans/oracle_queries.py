@@ -139,7 +139,7 @@ _CF_BASE = _ST_TEST + f""",
 rg AS (SELECT {', '.join(f'CAST(min({c}) AS DOUBLE) AS mn_{c}, CAST(max({c}) AS DOUBLE) AS mx_{c}' for c in _VARY)}
        FROM folded WHERE stratified_fold >= 0),
 r AS (SELECT * FROM ts WHERE score < 0.5),
-c0 AS (SELECT r.ID, t.cand, {', '.join('r.' + c for c in BASE if c not in _VARY)},
+c0 AS (SELECT r.ID, CAST(t.cand AS INTEGER) AS cand, {', '.join('r.' + c for c in BASE if c not in _VARY)},
               {', '.join(f'{_cf_value(c)} AS {c}' for c in _VARY)},
               {', '.join(f'r.{c} AS old_{c}' for c in _VARY)},
               {', '.join(f'rg.mx_{c} - rg.mn_{c} AS span_{c}' for c in _VARY)}
@@ -161,7 +161,7 @@ SELECT ID, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, Fam
 FROM cs WHERE score >= 0.5"""
 
 ORACLE["counterfactuals"] = _CF_BASE + f""",
-rk AS (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY n_changed, distance, cand) AS cf_rank FROM cs WHERE score >= 0.5)
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY ID ORDER BY n_changed, distance, cand) AS INTEGER) AS cf_rank FROM cs WHERE score >= 0.5)
 SELECT ID, cf_rank, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed,
        round(distance, {R}) AS distance, round(score, {R}) AS score
 FROM rk WHERE cf_rank <= 3"""
