@@ -72,3 +72,18 @@ def test_fold_views(spark):
     assert {r[0] for r in xy.select("label").distinct().collect()} <= {0, 1}
     with pytest.raises(KeyError):
         splits.split_xy(tv, "Nope", spec)
+
+
+def test_label_folds_are_stratified_and_deterministic(spark):
+    rows = [(i, 1 if i % 3 == 0 else 0) for i in range(503)]
+    df = spark.createDataFrame(rows, "ID long, label int")
+    a = splits.assign_label_folds(df, "label", n_splits=5, seed=42)
+    counts = {}
+    for r in a.collect():
+        counts[(r["label"], r["_cv_fold"])] = counts.get((r["label"], r["_cv_fold"]), 0) + 1
+    for label in (0, 1):
+        per_fold = [counts.get((label, k), 0) for k in range(5)]
+        assert max(per_fold) - min(per_fold) <= 1
+    b = splits.assign_label_folds(df.repartition(7), "label", n_splits=5, seed=42)
+    assert sorted(a.select("ID", "_cv_fold").collect()) == sorted(b.select("ID", "_cv_fold").collect())
+    assert set(a.columns) == {"ID", "label", "_cv_fold"}
