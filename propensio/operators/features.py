@@ -53,7 +53,7 @@ class _FeatureParams(Params):
         self._setDefault(
             baseCols=list(BASE_COLS),
             engineeredCols=list(ENGINEERED_COLS),
-            excludeCols=[ID_COL, FOLD_COL, *TARGET_COLS, "label"],
+            excludeCols=[ID_COL, FOLD_COL, *TARGET_COLS, "label", "_cv_fold"],
             quantileMethod="exact",
             accuracy=20_000,
         )
