@@ -80,7 +80,7 @@ def mix_sizes(thin: DataFrame, weights: tuple[int, ...], max_repeat: int, seed:
     c = (F.col("rest") - (F.col("source_size") - F.col("below"))) / F.col("squares").cast("double")
     cells = cells.withColumn("c", c)
     # the largest c whose own group stays within 1 is the solution; when none does, every document is certain
-    chance = cells.where("c * size <= 1").groupBy("s").agg(F.max("c").alias("c"))
+    chance = materialize(cells.where("c * size <= 1").groupBy("s").agg(F.max("c").alias("c")), "mix-chance")
 
     scored = (
         thin.join(targets, "s").join(chance, "s", "left")
