@@ -10,7 +10,8 @@
    compared with it only (a star, never all pairs), first by the Jaccard estimate
    corrected for accidental register collisions, then on the full sets.
 4. Members that are still apart from the elected one's component are compared with every
-   member of the key that lies in another component, in blocks of registers. So
+   member of the key that lies in another component, in blocks of registers (longer sketches here, made
+   of the members only, so that the estimate is sharp). So
    no pair that shares a key and could join two components is left out, however
    large the key is, and pairs inside one component are never made.
 5. Components of the confirmed links; the smallest id of each is kept.
@@ -38,17 +39,19 @@ from propensio.session import materialize
 
 BANDS, ROWS, MANTISSA = 32, 5, 10
 BUCKETS = BANDS * ROWS
-_FACTORS = np.random.default_rng(7).integers(1, 2**63, BUCKETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Buckets of the longer sketch that settles which pairs of a crowded key are worth the exact test; the first BUCKETS make the bands.
+LONG = BUCKETS + 256
+_FACTORS = np.random.default_rng(7).integers(1, 2**63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COLUMNS_AT_ONCE = 1024
 #: Members of one key that meet in one task.
 BLOCK = 2048
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
+def registers(hashes: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """One 16-bit register per bucket: exponent (53 - leading zeros) and mantissa of the smallest hash."""
-    low = np.full(BUCKETS, 2**64 - 1, dtype=np.uint64)
+    low = np.full(buckets, 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(hashes), _COLUMNS_AT_ONCE):
-        part = hashes[None, at : at + _COLUMNS_AT_ONCE] * _FACTORS[:, None]
+        part = hashes[None, at : at + _COLUMNS_AT_ONCE] * _FACTORS[:buckets, None]
         np.minimum(low, part.min(axis=1), out=low)
     cells = ((low >> np.uint64(11)).astype(np.float64).view(np.int64) >> (52 - MANTISSA)) - (1023 << MANTISSA)
     return np.maximum(cells, 0).astype(np.uint16)
@@ -66,8 +69,9 @@ def estimate(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return (equal - chance) / (1 - chance)
 
 
-def _cut(threshold: float) -> float:
-    return threshold - 4 * np.sqrt(threshold * (1 - threshold) / BUCKETS)
+def _cut(threshold: float, buckets: int = BUCKETS) -> float:
+    """Four standard errors under the threshold."""
+    return threshold - 4 * np.sqrt(threshold * (1 - threshold) / buckets)
 
 
 def _sketches(width: int):
@@ -88,7 +92,8 @@ def _sketches(width: int):
 def _sets(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "grams": [shingle_set(t, width).tobytes() for t in pdf["text"]]})
+            sets = [shingle_set(t, width) for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["id"], "grams": [s.tobytes() for s in sets], "regs": [registers(s, LONG).tobytes() for s in sets]})
 
     return run
 
@@ -120,25 +125,25 @@ def _confirmed(percent: int):
 
 
 def _left_over(percent: int):
-    cut = _cut(percent / 100)
+    cut = _cut(percent / 100, LONG)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         """Pairs of one block (``member`` rows) and one chunk of the key's members that lie apart."""
         band, one = int(pdf["band"].iloc[0]), pdf["member"].to_numpy()
 
         def side(rows: pd.DataFrame):
-            regs = np.frombuffer(b"".join(rows["regs"]), dtype=np.uint16).reshape(-1, BUCKETS)
+            regs = np.frombuffer(b"".join(rows["regs"]), dtype=np.uint16).reshape(-1, LONG)
             return regs, rows["id"].to_numpy(), rows["n"].to_numpy(), rows["comp"].to_numpy(), rows["apart"].to_numpy()
 
         regs, ids, n, comp, apart = side(pdf[one])
-        bands = regs.reshape(-1, BANDS, ROWS)
+        bands = regs[:, :BUCKETS].reshape(-1, BANDS, ROWS)
         out_a, out_b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         for reg, x, nx, cx, _ in zip(*side(pdf[~one]), strict=True):
             size_ok = 100 * np.minimum(n, nx) >= percent * np.maximum(n, nx)
             js = np.flatnonzero(size_ok & (comp != cx) & ~(apart & (ids <= x)))
             js = js[estimate((regs[js] == reg).mean(axis=1), n[js], np.full(len(js), nx)) >= cut] if len(js) else js
             if band:  # a pair that shares several keys is made under the first one only
-                js = js[~(bands[js, :band] == reg.reshape(BANDS, ROWS)[:band]).all(axis=2).any(axis=1)]
+                js = js[~(bands[js, :band] == reg[:BUCKETS].reshape(BANDS, ROWS)[:band]).all(axis=2).any(axis=1)]
             out_a.append(np.full(len(js), x))
             out_b.append(ids[js])
         return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
@@ -184,7 +189,7 @@ def near_duplicates(
         .mapInPandas(_estimated(percent / 100), "a long, b long")
     )
     wanted = members.select("id").distinct()
-    sets = materialize(base.join(wanted, "id", "left_semi").mapInPandas(_sets(width), "id long, grams binary").dropDuplicates(["id", "grams"]), "shingle-sets")
+    sets = materialize(base.join(wanted, "id", "left_semi").mapInPandas(_sets(width), "id long, grams binary, regs binary").dropDuplicates(["id", "grams"]), "shingle-sets")
     star_links = materialize(_confirm(pairs, sets, percent), "star-links")
 
     # what the stars left apart, in blocks
@@ -194,10 +199,10 @@ def near_duplicates(
     placed = materialize(placed.join(main, "key").withColumn("apart", F.expr("comp <> main")), "placed")
     lone = placed.where("apart").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
     rest = placed.join(lone, "key").withColumn("blocks", F.ceil(F.col("crowd") / BLOCK).cast("int"))
-    cell = ["key", "band", "id", "comp", "apart"]
+    cell = ["key", "band", "id", "n", "comp", "apart"]
     members_to = rest.select(*cell, F.expr("pmod(xxhash64(id), blocks)").cast("int").alias("block"), F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), F.lit(True).alias("member"))
     apart_to = rest.where("apart").select(*cell, F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.expr("pmod(xxhash64(id), chunks)").cast("int").alias("chunk"), F.lit(False).alias("member"))
-    blocks = members_to.unionByName(apart_to).join(slim, "id")
+    blocks = members_to.unionByName(apart_to).join(sets.select("id", "regs"), "id")
     more = blocks.groupBy("key", "block", "chunk").applyInPandas(_left_over(percent), "a long, b long")
     links = star_links.unionByName(_confirm(materialize(more.distinct(), "left-over-pairs"), sets, percent))
 
