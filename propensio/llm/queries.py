@@ -15,7 +15,7 @@ from propensio.llm.mixing import mix
 from propensio.llm.near_dup import near_duplicates
 from propensio.llm.quality_lm import judge
 from propensio.llm.sharding import shard
-from propensio.llm.toxicity import fit_toxicity
+from propensio.llm.toxicity import fit_toxicity, labelled_sample
 from propensio.llm.url_filter import judge_urls
 
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
@@ -30,9 +30,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of the labelled documents outside the held-out fifth."""
-    known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(f"not ({HELD_OUT})")
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
+    """``text, toxic`` of a bounded sample of the labelled documents outside the held-out fifth."""
+    return labelled_sample(docs, labels.where(f"not ({HELD_OUT})"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,9 @@ MAX_CANDIDATES, MAX_NEGATIVES, LANDMARKS, MINING_ROUNDS = 2000, 6000, 256, 4
 #: Characters of a word looked at together; longer words are cut into overlapping pieces of this length.
 PIECE, STEP = 24, 16
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
-_MEMO = 400_000
+_MEMO = 200_000
+_SLICE = 256
+MAX_TEXTS = 20_000
 
 
 def _code(c: str) -> int:
@@ -184,15 +186,17 @@ def _text_values(model: ToxicityModel):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights, memo = table.astype(np.float64), {}
         for pdf in batches:
-            bags = [words_of(t) for t in pdf["text"]]
-            if len(memo) > _MEMO:
-                memo = {}
-            new = list({w for bag in bags for w in bag if w not in memo})
-            for a in range(0, len(new), 50_000):
-                part = new[a : a + 50_000]
-                memo.update(zip(part, word_values([clean_word(w) for w in part], weights).tolist(), strict=True))
-            best = np.array([max((memo[w] for w in bag), default=0.0) for bag in bags], dtype=np.float64)
-            yield pd.DataFrame({"id": pdf["id"], "score": 1 / (1 + np.exp(-(slope * best + offset)))})
+            best = []
+            for at in range(0, len(pdf), _SLICE):
+                bags = [words_of(t) for t in pdf["text"].iloc[at : at + _SLICE]]
+                if len(memo) > _MEMO:
+                    memo = {}
+                new = list({w for bag in bags for w in bag if w not in memo})
+                for k in range(0, len(new), 20_000):
+                    part = new[k : k + 20_000]
+                    memo.update(zip(part, word_values([clean_word(w) for w in part], weights).tolist(), strict=True))
+                best += [max((memo[w] for w in bag), default=0.0) for bag in bags]
+            yield pd.DataFrame({"id": pdf["id"], "score": 1 / (1 + np.exp(-(slope * np.array(best, dtype=np.float64) + offset)))})
 
     return run
 
@@ -283,7 +287,8 @@ def _fit_words(positive: list[str], negative: list[str], hard: list[str]) -> np.
     used, col = np.unique(cells[is_mark], return_inverse=True)
     place = np.zeros(len(words), dtype=np.int64)
     place[marks] = np.arange(len(marks))
-    land = np.bincount(col * len(marks) + place[rows[is_mark]], vals[is_mark], len(used) * len(marks)).reshape(len(used), len(marks)).astype(np.float32)
+    land = np.zeros((len(used), len(marks)), dtype=np.float32)
+    np.add.at(land, (col, place[rows[is_mark]]), vals[is_mark].astype(np.float32))
     known = np.isin(cells, used)
     k = np.zeros((len(words), len(marks)))
     r, c, v = rows[known], np.searchsorted(used, cells[known]), vals[known]
@@ -321,7 +326,20 @@ def _logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", max_texts: int = 20_000) -> ToxicityModel:
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_texts: int = MAX_TEXTS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``text, toxic`` of about ``max_texts`` labelled documents of each label, chosen by id hash.
+
+    Only the chosen ids are sent to the documents (at most about 2 * ``max_texts``, so a broadcast); no text is
+    shuffled. A document with several label rows is toxic if one of them says so.
+    """
+    known = labels.where(f"{label_col} in (0, 1)").groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
+    counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
+    share = F.when(F.col("_label") == 1, max_texts / counts.get(1, 1)).otherwise(max_texts / counts.get(0, 1))
+    chosen = known.where(F.expr("pmod(xxhash64(_id), 1048576)") < share * 1048576)
+    return docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select(docs[text_col], F.col("_label").alias(label_col))
+
+
+def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", max_texts: int = MAX_TEXTS) -> ToxicityModel:
     """Train on labelled texts (label 1 toxic, 0 clean), at most about ``max_texts`` of each label."""
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("label"))
     counts = {r["label"]: r["count"] for r in rows.where("label in (0, 1)").groupBy("label").count().collect()}
