@@ -48,5 +48,5 @@ def age_bracket_flags(age: Column) -> dict[str, Column]:
 
 
 def stratum_key(cols: list[str]) -> Column:
-    """'<t0>_<t1>' text of the label values (the stratification key)."""
-    return F.concat_ws("_", *[F.col(c).cast("string") for c in cols])
+    """'<t0>_<t1>' text of the label values (the stratification key); a null label is a value of its own."""
+    return F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])

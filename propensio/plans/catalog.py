@@ -399,12 +399,12 @@ def q_top_features(spark, sf_dir):
 
 
 def q_boruta_selection(spark, sf_dir):
-    """Boruta-style confirmation of the 16 features (few rounds)."""
+    """Boruta-style confirmation of the 16 features, at most 100 rounds, each feature until it is decided."""
     from propensio.operators.synthesis import boruta
 
     fm, _ = feature_matrix(spark, sf_dir)
     tv = cut_lineage(splits.train_val_block(fm))
-    return boruta(tv, FSPEC.feature_cols, rounds=3, n_trees=20)
+    return boruta(tv, FSPEC.feature_cols, rounds=100, n_trees=50)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

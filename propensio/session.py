@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     current = tempfile.mkdtemp(prefix="propensio-ckpt-", dir="/tmp")
     sc.setCheckpointDir(current)
     return current

@@ -90,14 +90,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+MAX_LOCAL_ROWS = 10_000
+
+
 def write_json_rows(df: DataFrame, path: str, local_copy: str | None = None) -> str:
     """Write a report as JSON lines; optionally also one small driver-side file.
 
-    The local copy is meant for one-row metric reports only.
+    The local copy is meant for small metric reports: more than ``MAX_LOCAL_ROWS``
+    rows raise before anything is written.
     """
+    if local_copy and df.limit(MAX_LOCAL_ROWS + 1).count() > MAX_LOCAL_ROWS:
+        raise ValueError(f"a local copy holds at most {MAX_LOCAL_ROWS} rows; read {path} instead")
     df.write.mode("overwrite").json(path)
     if local_copy:
-        rows = [r.asDict(recursive=True) for r in df.limit(10_000).collect()]
+        rows = [r.asDict(recursive=True) for r in df.collect()]
         os.makedirs(os.path.dirname(os.path.abspath(local_copy)), exist_ok=True)
         with open(local_copy, "w") as fh:
             json.dump(rows[0] if len(rows) == 1 else rows, fh, indent=2)
