@@ -35,9 +35,9 @@ def learn_rotations(sample: np.ndarray, n_codes: int, seed: int = 3) -> np.ndarr
     """(n_codes, dim, dim) projections: principal directions times an ITQ rotation; sample rows have unit length."""
     dim = sample.shape[1]
     rng = np.random.default_rng(seed)
-    if len(sample) > 1:
-        _, _, axes = np.linalg.svd(sample - sample.mean(axis=0), full_matrices=True)
-        axes = axes.T if axes.shape == (dim, dim) else np.eye(dim)
+    if len(sample) > 1:  # from the dim x dim scatter: a full decomposition of the sample would be sample x sample large
+        centred = sample - sample.mean(axis=0)
+        axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1]
     else:
         axes = np.eye(dim)
     v = sample @ axes
