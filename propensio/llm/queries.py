@@ -13,6 +13,7 @@ from propensio.llm.langid import identify, learn_dictionaries
 from propensio.llm.licenses import scan_licenses
 from propensio.llm.mixing import mix
 from propensio.llm.near_dup import near_duplicates
+from propensio.llm.oracle_sql import ORACLE  # noqa: F401
 from propensio.llm.quality_lm import judge
 from propensio.llm.sharding import shard
 from propensio.llm.toxicity import fit_toxicity, labelled_sample
@@ -84,5 +85,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language_id, op7_quality_lm, op8_mixing, op9_decontamination, op10_license_scan,
     )
 }
-
-ORACLE: dict[str, str] = {}
