@@ -1,5 +1,6 @@
 """Training-data operators against brute force, planted cases and edge rows."""
 
+import random
 import re
 import zlib
 
@@ -255,6 +256,66 @@ def test_decontamination_tolerates_substitutions(spark, docs, edge):
     assert decontaminated(edge, bench.limit(0)).count() == len(EDGE)
 
 
+def test_decontamination_masks_cover_every_pattern():
+    """However the disagreeing tokens of a stretch lie, a mask fits between them."""
+    from itertools import combinations
+
+    from propensio.llm.decontaminate import MASKS
+
+    for length, wrong in ((9, 2), (12, 3), (16, 4), (20, 5)):
+        placed = [sum(1 << (o + at) for o in mask) for mask in MASKS for at in range(length - mask[-1])]
+        assert all(any(not bad & p for p in placed) for bad in (sum(1 << i for i in c) for c in combinations(range(length), wrong)))
+
+
+def test_decontamination_is_the_full_comparison(spark):
+    from propensio.llm.decontaminate import contaminated_pairs, decontaminated, find_overlaps
+
+    def words(k, n):
+        return [f"{k}w{i}" for i in range(n)]
+
+    def changed(tokens, at):
+        return ["other" if i in at else w for i, w in enumerate(tokens)]
+
+    items = {1: words("a", 50), 2: words("b", 30), 3: words("c", 9), 4: words("d", 10), 5: words("e", 11), 6: words("f", 8)}
+    lead, tail = [f"lead{i}" for i in range(9)], [f"tail{i}" for i in range(9)]
+    rng = random.Random(5)
+    docs = {
+        "middle replaced": changed(items[1], range(20, 35)),
+        "each fifth": changed(items[2][:25], range(0, 25, 5)),
+        "each fourth": changed(items[2][:24], range(3, 24, 4)),
+        "nine": changed(items[3], (2, 6)), "ten": changed(items[4], (0, 5)), "eleven": changed(items[5], (4, 10)),
+        "nine spoilt": changed(items[3], (2, 4, 6)), "eight": items[6], "apart": changed(items[2][:16], range(4, 12, 2)),
+        "run of eight": items[2][4:12],
+        **{f"fifteen {k}": changed(items[2][5:20], rng.sample(range(15), 2)) for k in range(40)},
+        **{f"twenty {k}": changed(items[1][7:27], rng.sample(range(20), rng.choice((4, 5, 6, 7, 8)))) for k in range(60)},
+    }
+    docs = {k: lead + w + tail for k, w in docs.items()}
+
+    def overlaps(d, b):
+        least = min(12, len(b))
+        for shift in range(1 - len(b), len(d)):
+            lo, hi = max(0, shift), min(len(d), shift + len(b))
+            sums = [0]
+            for i in range(lo, hi):
+                sums.append(sums[-1] + (d[i] == b[i - shift]))
+            if sums[-1] >= 7 and any(4 * (sums[y] - sums[x]) >= 3 * (y - x) for x in range(hi - lo + 1) for y in range(x + least, hi - lo + 1)):
+                return True
+        return False
+
+    want = {(k, i) for k, d in docs.items() for i, b in items.items() if len(b) >= 9 and overlaps(d, b)}
+    assert {("middle replaced", 1), ("each fifth", 2), ("each fourth", 2), ("nine", 3), ("ten", 4), ("eleven", 5), ("apart", 2)} <= want
+    assert {(f"fifteen {k}", 2) for k in range(40)} <= want and not {"nine spoilt", "eight", "run of eight"} & {k for k, _ in want}
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id string, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in contaminated_pairs(df, bench).collect()}
+    assert set(got) == want
+    assert (got["middle replaced", 1].span, got["middle replaced", 1].matched) == (20, 20)
+    assert all(r.matched >= 0.75 * r.span and r.span >= 9 for r in got.values())
+    assert {r["doc_id"] for r in decontaminated(df, bench).collect()} == set(docs) - {k for k, _ in want}
+    at = find_overlaps(df.where("doc_id = 'middle replaced'"), bench).collect()
+    assert [(r["first"], r["item_first"]) for r in at] == [(9, 0)]
+
+
 def test_license_scan(spark, edge):
     from propensio.llm.licenses import TEMPLATES, scan_licenses
 
