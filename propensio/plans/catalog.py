@@ -274,11 +274,6 @@ def q_counterfactuals(spark, sf_dir):
 
 CF_CANDIDATES = 200
 
-# Registered model checks run the families at a reduced tree count (the
-# presets scale by this factor; 1.0 = the configured 400-1000 trees).
-CHECK_TREE_SCALE = 0.05
-CHECK_TRIALS = 3
-
 ENGINEERED = list(FSPEC.engineered_cols)
 
 
@@ -322,7 +317,7 @@ def _both_targets(spark, sf_dir, family: str, calibration: str = "isotonic"):
 
     def one(target):
         data = fm.withColumn("label", F.col(target).cast("int"))
-        model = PropensityModel(family, calibration=calibration, tree_scale=CHECK_TREE_SCALE, parallelism=6)
+        model = PropensityModel(family, calibration=calibration, parallelism=6)
         model.fit(splits.train_val_block(data))
         scored = model.predict_proba(splits.test_block(data))
         return binary_metrics(scored).select(F.lit(target).alias("target"), F.lit(family).alias("family"), "*")
@@ -342,13 +337,15 @@ def _train_query(family: str):
 
 
 def q_tuned_random_forest(spark, sf_dir):
-    """Seeded random search for the forest on the primary target."""
+    """Seeded random search for the forest, every configured trial on both targets."""
     from propensio.operators.tuning import best_trials, random_search, trials_frame
 
-    fm, _ = feature_matrix(spark, sf_dir)
-    results = random_search(splits.train_val_block(fm), "random_forest", n_trials=CHECK_TRIALS, parallelism=3,
-                            tree_scale=CHECK_TREE_SCALE)
-    trials = trials_frame(spark, SPEC.primary_target, results)
+    tv = cut_lineage(splits.train_val_block(both_label_matrix(spark, sf_dir)))
+    trials = None
+    for target in SPEC.target_cols:
+        results = random_search(tv.withColumn("label", F.col(target).cast("int")), "random_forest", parallelism=3)
+        part = trials_frame(spark, target, results)
+        trials = part if trials is None else trials.unionByName(part)
     best = best_trials(trials).select("target", F.col("trial").alias("best_trial"))
     return trials.join(best, "target").select("*", (F.col("trial") == F.col("best_trial")).alias("is_best")).drop("best_trial")
 
@@ -358,7 +355,7 @@ def _explained_model(spark, sf_dir, family):
 
     fm, _ = feature_matrix(spark, sf_dir)
     fm = cut_lineage(fm)
-    model = PropensityModel(family, calibration="none", tree_scale=CHECK_TREE_SCALE).fit(splits.train_val_block(fm))
+    model = PropensityModel(family, calibration="none").fit(splits.train_val_block(fm))
     return fm, model
 
 
@@ -380,9 +377,9 @@ def q_additive_terms(spark, sf_dir):
 
 def q_top_features(spark, sf_dir):
     """D3/L4: top 15 generated + engineered features by boosted-tree importance."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml import Pipeline
 
+    from propensio.operators.models import base_stages
     from propensio.operators.synthesis import pairwise_exprs, top_features
 
     fm, _ = feature_matrix(spark, sf_dir)
@@ -391,8 +388,8 @@ def q_top_features(spark, sf_dir):
     # trees here take no missing values: an undefined ratio (÷0) counts as 0
     tv = splits.train_val_block(fm).select(
         "label", *FSPEC.feature_cols, *[F.coalesce(e, F.lit(0.0)).alias(n) for n, e in exprs.items()])
-    vec = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(tv)
-    gbt = GBTClassifier(maxIter=20, maxDepth=4, seed=42).fit(vec.withColumn("label", F.col("label").cast("double")))
+    fitted = Pipeline(stages=base_stages("xgboost", features=names)).fit(tv.withColumn("label", F.col("label").cast("double")))
+    gbt = fitted.stages[-1]
     imp = dict(zip(names, gbt.featureImportances.toArray().tolist()))
     rows = [(i + 1, n, float(v)) for i, (n, v) in enumerate(top_features(imp, 15))]
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
