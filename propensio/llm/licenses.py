@@ -1,14 +1,15 @@
 """License scan: MinHash bands over overlapping token windows, then exact containment.
 
-Templates are short notices. Each is searched in windows of the smallest power of two that is
+Templates are notices in several wordings, headers and whole licenses (``license_texts.py``). Each is searched in windows of the smallest power of two that is
 at least twice its length, laid at half that stride, so every occurrence lies whole in some
 window. A window's set of ``WIDTH``-word shingles has Jaccard similarity of at least about a quarter with a template
 inside it (n of at most 4n + 2 shingles); ``HASHES`` bands of one MinHash value find it with probability
 1 - 0.8^40 > 0.9998 even at 0.2. Retrieved (window, template) pairs are verified on exact shingles: the share of the
-template's shingles in the window must reach ``min_containment``. Adjacent windows with the same template are one match.
+template's shingles in the window must reach ``min_containment``. Where templates of different licenses overlap and the shingles found of one are mostly the other's too
+(other versions, other members of a family), the better contained one is reported; so is the longer one where its text found holds the other's whole. Ties stay. Overlapping windows of one license are one match.
 
-The templates are a parameter of known size and travel with the tasks. A text none of whose shingles is a template's
-cannot collide in any band and is skipped early. Everything is per text: no shuffle,
+The templates are a parameter of known size and travel with the tasks. Only templates of whose shingles the whole text holds ``min_containment`` are searched:
+no window of the text can hold more. Everything is per text: no shuffle,
 no group. Null and empty texts and texts shorter than a shingle give no rows; repeated rows give repeated matches; templates
 shorter than ``WIDTH`` words are one shingle. Words are lower-cased and stripped of outer punctuation.
 """
@@ -23,10 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensio.llm.license_texts import wordings
 from propensio.llm.text import shingles, word_hashes
 
 WIDTH, HASHES, MIN_CONTAINMENT = 3, 40, 0.8
-#: Notices searched for (fixed values).
+#: Single notices, searched for besides ``license_texts.wordings()`` (fixed values).
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
@@ -49,21 +51,39 @@ def _words(text: str) -> np.ndarray:
     return word_hashes(_OUTER.sub(" ", text.lower()))
 
 
-def _prepared(templates: dict[str, str]) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
-    out = []
-    for name, text in sorted(templates.items()):
+def _prepared(templates: list[tuple[str, str]]) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
+    out = {}
+    for name, text in sorted(templates):
         words = _words(text)
         own = np.unique(shingles(words, WIDTH))
         window = max(8, 1 << (2 * len(words) - 1).bit_length())
-        out.append((name, window, own, (own[None, :] * _FACTORS[:, None]).min(axis=1)))
-    return out
+        if len(own):
+            out.setdefault((name, own.tobytes()), (name, window, own, (own[None, :] * _FACTORS[:, None]).min(axis=1)))
+    return list(out.values())
 
 
-def _scan(templates: dict[str, str], min_containment: float):
+def _best(found: list[tuple]) -> list[tuple]:
+    """Matches (license, start, end, share, shingles found, template's shingles) without those that an overlapping better one explains."""
+
+    def explained(a: tuple, b: tuple) -> bool:
+        if b[0] == a[0] or b[1] >= a[2] or a[1] >= b[2]:
+            return False
+        better = b[3] > a[3] and 2 * int(np.isin(a[4], b[5]).sum()) >= len(a[4])
+        return better or (len(b[4]) > len(a[4]) and bool(np.isin(a[4], b[4]).all()))
+
+    return [a for a in found if not any(explained(a, b) for b in found)]
+
+
+def _scan(templates: list[tuple[str, str]], min_containment: float):
     prepared = _prepared(templates)
+    sizes = np.array([len(own) for _, _, own, _ in prepared], dtype=np.int64)
+    flat = np.concatenate([own for _, _, own, _ in prepared]) if prepared else np.empty(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(np.arange(len(prepared)), sizes)[order]
+    everything, first = np.unique(flat[order], return_index=True)
+    past = np.append(first[1:], len(flat))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everything = np.unique(np.concatenate([own for _, _, own, _ in prepared])) if prepared else np.empty(0, np.uint64)
         for pdf in batches:
             out: dict[str, list] = {k: [] for k in ("id", "license", "first_word", "n_words", "containment")}
             for ident, text in zip(pdf["id"], pdf["text"], strict=True):
@@ -71,28 +91,36 @@ def _scan(templates: dict[str, str], min_containment: float):
                     continue
                 words = _words(text)
                 grams = shingles(words, WIDTH)
-                if not len(grams) or not np.isin(grams, everything).any():
+                if not len(grams):
+                    continue
+                at = np.minimum(np.searchsorted(everything, grams), len(everything) - 1)
+                at = np.unique(at[everything[at] == grams])
+                if not len(at):
                     continue
-                for name, window, own, low in prepared:
+                counts = np.bincount(np.concatenate([owner[first[i] : past[i]] for i in at]), minlength=len(prepared))
+                matches = []
+                for k in np.flatnonzero((counts > 0) & (counts >= min_containment * sizes - 1e-9)):
+                    name, window, own, low = prepared[k]
                     span = window - WIDTH + 1
                     starts = np.arange(0, max(1, len(grams) - span + window // 2), window // 2)
                     held = np.flatnonzero(np.isin(grams, own))  # a window without them shares no band
-                    near = starts[np.searchsorted(held, starts + span) > np.searchsorted(held, starts)] if len(held) else starts[:0]
-                    end = -1
-                    for s in near:
+                    for s in starts[np.searchsorted(held, starts + span) > np.searchsorted(held, starts)]:
                         part = grams[s : s + span]
                         if not ((part[None, :] * _FACTORS[:, None]).min(axis=1) == low).any():
                             continue
-                        share = float(np.isin(own, part).mean())
-                        if share < min_containment:
-                            continue
-                        if s <= end and out["license"][-1] == name:
-                            out["n_words"][-1] = int(min(s + window, len(words))) - out["first_word"][-1]
-                            out["containment"][-1] = max(share, out["containment"][-1])
-                        else:
-                            for k, v in zip(out, (ident, name, int(s), int(min(window, len(words) - s)), share), strict=True):
-                                out[k].append(v)
-                        end = s + window
+                        inside = np.isin(own, part)
+                        if inside.mean() >= min_containment:
+                            matches.append((name, int(s), int(min(s + window, len(words))), float(inside.mean()), own[inside], own))
+                last = None
+                for name, s, end, share, _, _ in sorted(_best(matches), key=lambda m: m[:3]):
+                    if last is not None and name == last[0] and s <= last[1]:
+                        last = (name, max(end, last[1]))
+                        out["n_words"][-1] = last[1] - out["first_word"][-1]
+                        out["containment"][-1] = max(share, out["containment"][-1])
+                    else:
+                        last = (name, end)
+                        for k, v in zip(out, (ident, name, s, end - s, share), strict=True):
+                            out[k].append(v)
             yield pd.DataFrame(out).astype({"first_word": "int64", "n_words": "int64", "containment": "float64", "license": "object"})
 
     return run
@@ -101,8 +129,9 @@ def _scan(templates: dict[str, str], min_containment: float):
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, min_containment: float = MIN_CONTAINMENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per match: id, ``license``, ``first_word`` and ``n_words`` of the windows, ``containment``."""
+    """One row per match of ``templates`` (license: text; the module's own by default): id, ``license``, ``first_word`` and ``n_words`` of the windows, ``containment``."""
     kind = dict(docs.dtypes)[id_col]
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {kind}, license string, first_word long, n_words long, containment double"
-    return thin.mapInPandas(_scan(TEMPLATES if templates is None else templates, min_containment), schema).withColumnRenamed("id", id_col)
+    wanted = [*TEMPLATES.items(), *wordings()] if templates is None else list(templates.items())
+    return thin.mapInPandas(_scan(wanted, min_containment), schema).withColumnRenamed("id", id_col)

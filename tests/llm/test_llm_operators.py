@@ -326,6 +326,29 @@ def test_license_scan(spark, edge):
     assert scan_licenses(edge).count() == 0
 
 
+def test_license_families_versions_and_bodies(spark):
+    """Notices and versions that are not copied from the data, each reported as itself only."""
+    from propensio.llm.license_texts import BODIES, wordings
+    from propensio.llm.licenses import scan_licenses
+
+    filler = " ".join(f"w{i}" for i in range(70))
+    long = {n: t for n, t in wordings() if len(t) > 5000}
+    notices = {
+        "MIT": ["Licensed under the MIT License.", "This project is licensed under the MIT license"], "ISC": ["distributed under the ISC License"],
+        "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2", "released under GPLv2", "under the terms of the GNU GPL v2"],
+        "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3"], "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3"],
+        "AGPL-3.0": ["licensed under the GNU Affero General Public License v3.0"], "CC0-1.0": ["Released under CC0 1.0 Universal"], "CC-BY-SA-3.0": ["licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License"],
+        "CC-BY-NC-SA-4.0": ["available under CC BY-NC-SA 4.0"], "Apache-1.1": ["Licensed under the Apache License, Version 1.1"], "Unlicense": [dict(BODIES)["Unlicense"]],
+        "LGPL-2.1": [long["LGPL-2.1"]], "MPL-1.1": [long["MPL-1.1"]],
+    }
+    rows = [(i, name, f"{filler} {t} {filler}") for i, (name, t) in enumerate((n, t) for n, ts in notices.items() for t in ts)]
+    rows += [(90, None, f"{filler} subject to the general public in terms of the license version {filler}")]
+    got = {}
+    for r in scan_licenses(spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    assert {i: got.get(i) for i, _, _ in rows} == {i: {name} if name else None for i, name, _ in rows}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
