@@ -12,6 +12,10 @@ shuffle is the top-k window, partitioned by client id with exactly
 ``n_candidates`` rows per client, so no group can grow with the data. The
 randomness is md5(seed:kind:id:candidate:feature), independent of
 partitioning.
+
+``generate`` is one such round and leaves out clients without a flip. ``generate_complete``
+draws further rounds (the next candidate numbers) for the clients still open, at
+most ``MAX_ROUNDS`` in all, and keeps those that stay open with ``n_found`` = 0.
 """
 
 from __future__ import annotations
@@ -22,12 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensio.functions.hashing import md5_uniform
+from propensio.session import materialize
 
 # What the reference lets vary and treats as continuous.
 FEATURES_TO_VARY = ("Income", "Wealth", "FamilyMembers")
 CONTINUOUS_FEATURES = ("Age", "Income", "Wealth", "FamilyMembers")
 INTEGER_FEATURES = {"Age", "FamilyMembers", "Gender", "FinancialEducation", "RiskPropensity"}
 VALUE_DIGITS = 2
+#: Rounds of n_candidates draws after which a client is reported as open.
+MAX_ROUNDS = 10
 
 
 def training_ranges(train: DataFrame, features: tuple[str, ...] = FEATURES_TO_VARY) -> dict[str, tuple[float, float]]:
@@ -40,10 +47,10 @@ def training_ranges(train: DataFrame, features: tuple[str, ...] = FEATURES_TO_VA
 
 
 def candidates(queries: DataFrame, ranges: dict[str, tuple[float, float]], n_candidates: int = 200,
-               seed: int = 42, id_col: str = "ID", features: tuple[str, ...] | None = None) -> DataFrame:
-    """Query rows × candidates with varied base columns, #changed and distance."""
+               seed: int = 42, id_col: str = "ID", features: tuple[str, ...] | None = None, first: int = 1) -> DataFrame:
+    """Query rows × candidates (numbers from ``first``) with varied base columns, #changed and distance."""
     feats = tuple(features or ranges)
-    out = queries.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_candidates))).alias("cand"))
+    out = queries.select("*", F.explode(F.sequence(F.lit(first), F.lit(first + n_candidates - 1))).alias("cand"))
     n_changed: Column = F.lit(0)
     distance: Column = F.lit(0.0)
     new_cols = {}
@@ -102,11 +109,39 @@ def desired_mask(desired_class, score_col: str = "score", original_col: str | No
 
 def generate(queries: DataFrame, ranges: dict, score_fn: Callable[[DataFrame], DataFrame], k: int = 3,
              n_candidates: int = 200, desired_class="opposite", seed: int = 42, id_col: str = "ID",
-             threshold: float = 0.5, features: tuple[str, ...] | None = None) -> DataFrame:
-    """X7-X9 end to end. ``score_fn`` recomputes features and adds ``score``.
+             threshold: float = 0.5, features: tuple[str, ...] | None = None, first: int = 1) -> DataFrame:
+    """X7-X9 end to end, one round of candidates (numbers from ``first``). ``score_fn`` recomputes features and adds ``score``.
 
     ``queries`` must carry ``orig_prediction`` when desired_class='opposite'.
     """
-    cand = candidates(queries, ranges, n_candidates, seed, id_col, features)
+    cand = candidates(queries, ranges, n_candidates, seed, id_col, features, first)
     scored = score_fn(cand)
     return best_counterfactuals(scored, desired_mask(desired_class, "score", "orig_prediction", threshold), k, id_col)
+
+
+def generate_complete(queries: DataFrame, ranges: dict, score_fn: Callable[[DataFrame], DataFrame], k: int = 3,
+                      n_candidates: int = 200, desired_class="opposite", seed: int = 42, id_col: str = "ID",
+                      threshold: float = 0.5, features: tuple[str, ...] | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """Every query client: its best k of the first round that flips any, else one row of nulls.
+
+    Adds ``n_found`` (counterfactuals of the client, 0 when open) and ``n_drawn`` (candidates
+    drawn for it).
+    """
+    feats = tuple(features or ranges)
+    columns = [id_col, "cf_rank", "cand", *feats, "n_changed", "distance", "score"]
+    open_ids = materialize(queries.select(id_col), "cf-open")
+    rounds = []
+    for done in range(max_rounds):
+        left = queries.join(open_ids, id_col, "left_semi")
+        best = generate(left, ranges, score_fn, k, n_candidates, desired_class, seed, id_col, threshold, feats, done * n_candidates + 1)
+        best = materialize(best.select(*columns).withColumn("n_drawn", F.lit((done + 1) * n_candidates)), "cf-round")
+        rounds.append(best)
+        open_ids = materialize(open_ids.join(best.select(id_col), id_col, "left_anti"), "cf-open")
+        if open_ids.isEmpty():
+            break
+    found = rounds[0]
+    for part in rounds[1:]:
+        found = found.unionByName(part)
+    found = found.withColumn("n_found", F.count(F.lit(1)).over(Window.partitionBy(id_col)))  # at most k rows each
+    nothing = open_ids.withColumn("n_drawn", F.lit(max_rounds * n_candidates)).withColumn("n_found", F.lit(0).cast("long"))
+    return found.unionByName(nothing, allowMissingColumns=True)

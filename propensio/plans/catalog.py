@@ -266,12 +266,18 @@ def q_cf_candidates(spark, sf_dir):
 
 
 def q_counterfactuals(spark, sf_dir):
-    """Best 3 counterfactuals per rejected client."""
+    """Best 3 counterfactuals per rejected client with a flip in one round (the SQL twin's rule)."""
     cf, ranges, rejected, score_fn, base = _cf_pieces(spark, sf_dir)
     best = cf.generate(rejected, ranges, score_fn, k=3, n_candidates=CF_CANDIDATES)
     return round_doubles(best.select(SPEC.id_col, "cf_rank", "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score"))
 
 
+def q_counterfactuals_complete(spark, sf_dir):
+    """Every rejected client, further rounds for those without a flip, open ones with n_found = 0."""
+    cf, ranges, rejected, score_fn, base = _cf_pieces(spark, sf_dir)
+    return round_doubles(cf.generate_complete(rejected, ranges, score_fn, k=3, n_candidates=CF_CANDIDATES))
+
+
 CF_CANDIDATES = 200
 
 ENGINEERED = list(FSPEC.engineered_cols)
@@ -426,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hard_predictions": q_hard_predictions,
     "cf_candidates": q_cf_candidates,
     "counterfactuals": q_counterfactuals,
+    "counterfactuals_complete": q_counterfactuals_complete,
     "pairwise_features": q_pairwise_features,
     "percentile_feature": q_percentile_feature,
     "corr_dedup": q_corr_dedup,

@@ -221,6 +221,7 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
           n_queries: int | None = None, target: str | None = None) -> dict[str, DataFrame]:
     """Global explanation of the stored model and counterfactuals for rejected clients.
 
+    Clients without a counterfactual after the last round are in ``counterfactuals_open``.
     ``n_queries`` None explains every rejected client (the reference takes 2).
     """
     from propensio.operators import counterfactuals as cf
@@ -245,13 +246,15 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
         return cf.score_keeping_inputs(cand, lambda d: model.predict_proba(features.transform(d)),
                                        list(settings.features.base_cols))
 
-    best = cf.generate(queries, ranges, score_fn, k=n_counterfactuals, n_candidates=n_candidates,
-                       seed=spec.seed, id_col=spec.id_col, threshold=settings.threshold)
-    out = best.select(spec.id_col, "cf_rank", "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score")
+    best = cf.generate_complete(queries, ranges, score_fn, k=n_counterfactuals, n_candidates=n_candidates,
+                                seed=spec.seed, id_col=spec.id_col, threshold=settings.threshold)
+    open_clients = best.where("n_found = 0").select(spec.id_col, "n_found", "n_drawn")
+    open_clients.write.mode("overwrite").json(f"{settings.artifacts_dir}/counterfactuals_open")
+    out = best.where("n_found > 0").select(spec.id_col, "cf_rank", "cand", *cf.FEATURES_TO_VARY, "n_changed", "distance", "score")
     out.write.mode("overwrite").json(f"{settings.artifacts_dir}/counterfactuals")
     if explanation is not None:  # S16: the table behind the plot
         explanation.write.mode("overwrite").parquet(f"{settings.artifacts_dir}/explanation_{settings.family}")
-    return {"explanation": explanation, "counterfactuals": out}
+    return {"explanation": explanation, "counterfactuals": out, "counterfactuals_open": open_clients}
 
 
 ACTIONS = ("data_prep", "train", "tune", "evaluate", "audit")

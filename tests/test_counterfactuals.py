@@ -50,3 +50,26 @@ def test_candidates_are_deterministic(spark):
     assert sorted(a) == sorted(b)
     assert len(a) == 20
     assert all(isinstance(r["FamilyMembers"], int) for r in a)
+
+
+def test_clients_without_a_flip_stay(spark):
+    """A flip that one round misses is found later; an impossible one leaves a row with n_found = 0."""
+    q = spark.createDataFrame(
+        [(i, 50000.0, 1000.0, 2, 0) for i in range(40)] + [(99, 50000.0, 1000.0, 2, 0)],
+        "ID long, Income double, Wealth double, FamilyMembers int, orig_prediction int")
+    ranges = {"Income": (20000.0, 90000.0), "Wealth": (0.0, 5000.0), "FamilyMembers": (1.0, 5.0)}
+
+    def score_fn(cand):
+        return cand.withColumn("score", F.when((F.col("ID") != 99) & (F.col("Income") > 80000) & (F.col("Wealth") > 4500), 0.9).otherwise(0.1))
+
+    one = {r["ID"] for r in cf.generate(q, ranges, score_fn, n_candidates=150).collect()}
+    assert len(one) < 40  # rejected clients that the first round leaves out
+    rows = cf.generate_complete(q, ranges, score_fn, n_candidates=150, max_rounds=16).collect()
+    per = {i: [r for r in rows if r["ID"] == i] for i in {r["ID"] for r in rows}}
+    assert set(per) == {*range(40), 99}
+    assert len(per[99]) == 1 and (per[99][0]["n_found"], per[99][0]["n_drawn"], per[99][0]["cand"], per[99][0]["score"]) == (0, 2400, None, None)
+    for i in range(40):
+        assert all(r["score"] == 0.9 and r["n_found"] == len(per[i]) and r["n_drawn"] - 150 < r["cand"] <= r["n_drawn"] for r in per[i])
+        assert (i in one) == (per[i][0]["n_drawn"] == 150)
+    few = cf.generate_complete(q, ranges, score_fn, n_candidates=150, max_rounds=1).where("n_found = 0").collect()
+    assert {r["ID"] for r in few} == set(range(40)) - one | {99}
