@@ -20,11 +20,15 @@ PROBE_TERMS = (
 PROBE_DIGITS = 4
 
 
-def probe_score(prefix: str = "") -> Column:
+def probe_logit(prefix: str = "") -> Column:
     z = F.lit(0.0)
     for name, centre, weight in PROBE_TERMS:
         z = z + F.lit(weight) * (F.coalesce(F.col(prefix + name), F.lit(centre)) - F.lit(centre))
-    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), PROBE_DIGITS)
+    return z
+
+
+def probe_score(prefix: str = "") -> Column:
+    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-probe_logit(prefix))), PROBE_DIGITS)
 
 
 def probe_score_sql(alias: str = "") -> str:

@@ -214,6 +214,17 @@ def q_isotonic_calibration(spark, sf_dir):
     return round_doubles(iso.transform(points).select("raw_score", "score"))
 
 
+def q_isotonic_calibration_unrounded(spark, sf_dir):
+    """Isotonic fit as the trainer calls it: the probability before any rounding, every distinct score."""
+    from propensio.functions.scores import probe_logit
+    from propensio.operators.calibration import fit_isotonic, isotonic_points
+
+    fm, _ = feature_matrix(spark, sf_dir)
+    oof = splits.train_val_block(fm).select((F.lit(1.0) / (F.lit(1.0) + F.exp(-probe_logit()))).alias("raw_score"), "label")
+    iso = fit_isotonic(oof)
+    return iso.transform(isotonic_points(oof).select("raw_score")).select("raw_score", "score")
+
+
 def probe_scored_test(spark, sf_dir):
     """Blind-block clients with their raw base columns and the probe score."""
     from propensio.functions.scores import probe_score
@@ -428,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc_by_fold": q_auc_by_fold,
     "minmax_scaled": q_minmax_scaled,
     "isotonic_calibration": q_isotonic_calibration,
+    "isotonic_calibration_unrounded": q_isotonic_calibration_unrounded,
     "rejected_clients": q_rejected_clients,
     "hard_predictions": q_hard_predictions,
     "cf_candidates": q_cf_candidates,
