@@ -21,7 +21,8 @@ probability (1 - 0.85^5)^32 = 7e-9 (0.8: 3e-6). Estimates within four standard
 errors of the threshold go on to the exact test.
 
 Empty or null texts have size 0 and are linked with nothing. Rows with a null id are
-never linked: component null, kept true. Rows that share an id are one document.
+never linked: component null, kept true. Rows that share an id are one document
+(``keep_one_per_group`` tells them apart by text).
 """
 
 from __future__ import annotations
@@ -222,11 +223,17 @@ def near_duplicates(
 def keep_one_per_group(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged.
 
-    Repeated rows of one id (equal text) are one document: one row stays.
-    Rows with a null id stay.
+    Repeated rows of one id and equal text are one document: one row stays. Rows that share an id
+    but not the text are documents of their own; all but one of them stand behind the other ids. Rows with a null id stay.
     """
-    gone = near_duplicates(docs, percent, width, id_col, text_col).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    again = docs.groupBy(F.col(id_col).cast("long").alias("_again")).count().where("count > 1 and _again is not null").select("_again")
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
-    same = kept[id_col].cast("long") == again["_again"]
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    ident, content = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+    texts = docs.select(ident.alias("_shared"), content.alias("_h")).where("_shared is not null").groupBy("_shared")
+    shared = materialize(texts.agg(F.min("_h").alias("_first"), F.max("_h").alias("_last")).where("_first <> _last").select("_shared", "_first"), "shared-ids")
+    own = F.lit(1 << 62) + F.xxhash64(ident, content).bitwiseAND((1 << 61) - 1)
+    keyed = docs.join(shared, ident == F.col("_shared"), "left")
+    keyed = keyed.withColumn("_key", F.when(content != F.col("_first"), own).otherwise(ident)).drop("_shared", "_first")
+    gone = near_duplicates(keyed, percent, width, "_key", text_col).where("not kept").select(F.col("_key").alias("_gone")).distinct()
+    again = keyed.groupBy(F.col("_key").alias("_again")).count().where("count > 1 and _again is not null").select("_again")
+    kept = keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    same = F.col("_key") == F.col("_again")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_key"])).drop("_key")

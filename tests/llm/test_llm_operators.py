@@ -229,6 +229,18 @@ def test_kneser_ney_sums_to_one_and_rejects_junk(spark, edge):
     assert judge(edge, edge.select("doc_id").limit(0)).where("kept").count() == 0 and judge(edge.limit(0), edge.select("doc_id")).count() == 0
 
 
+def test_shared_id_with_two_texts_keeps_both(spark):
+    from propensio.llm.near_dup import keep_one_per_group
+
+    one, two, copied = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, one), (1, two), (2, copied), (2, one), (2, one), (3, copied), (4, two), (None, one)]
+    got = keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = sorted(((r["doc_id"] or 0, r["text"]) for r in got.collect()))
+    assert got.columns == ["doc_id", "text"]
+    assert [t for d, t in kept if d].count(one) == 1 and {t for d, t in kept if d} == {one, two, copied}
+    assert len(kept) == 4 and (0, one) in kept
+
+
 def test_decontamination_tolerates_substitutions(spark, docs, edge):
     from propensio.llm.decontaminate import contaminated_pairs, decontaminated
 
