@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propensio.llm.alignment import aligned_documents
 from propensio.llm.decontaminate import contaminated_pairs
 from propensio.llm.embedding_dedup import embedding_duplicates
 from propensio.llm.langid import identify, learn_dictionaries
@@ -16,8 +17,10 @@ from propensio.llm.near_dup import near_duplicates
 from propensio.llm.oracle_sql import ORACLE  # noqa: F401
 from propensio.llm.quality_lm import judge
 from propensio.llm.sharding import shard
+from propensio.llm.topk import exact_top_k
 from propensio.llm.toxicity import fit_toxicity, labelled_sample
 from propensio.llm.url_filter import judge_urls
+from propensio.llm.whitening import whiten
 
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
 
@@ -78,10 +81,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors.where("vec_id % 20 = 0"), vectors)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_toxicity, op3_url_filter, op4_sharding, op5_embedding_near_dedup,
         op6_language_id, op7_quality_lm, op8_mixing, op9_decontamination, op10_license_scan,
+        op11_embedding_whitening, op12_tokenizer_alignment, op13_exact_top_k,
     )
 }
