@@ -154,14 +154,14 @@ FROM drawn d LEFT JOIN best b ON b.s = d.s AND b.doc_id = d.doc_id
 
 OP13 = """
 WITH sound AS (
-  SELECT vec_id, list_transform(embedding, c -> CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+  SELECT vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0
 )
 SELECT q.vec_id AS query_id, CAST(row_number() OVER best AS INTEGER) AS rank, c.vec_id,
-  CAST(coalesce(list_sum(list_transform(range(1, len(q.x) + 1), i -> q.x[i] * c.x[i])), 0) AS BIGINT) AS score
+  CAST(coalesce(list_sum([q.x[i] * c.x[i] for i in range(1, len(q.x) + 1)]), 0) AS BIGINT) AS score
 FROM sound q JOIN sound c ON q.vec_id % 20 = 0 AND len(q.x) = len(c.x) AND q.vec_id IS DISTINCT FROM c.vec_id
 WINDOW best AS (
-  PARTITION BY q.vec_id ORDER BY coalesce(list_sum(list_transform(range(1, len(q.x) + 1), i -> q.x[i] * c.x[i])), 0) DESC, c.vec_id NULLS LAST
+  PARTITION BY q.vec_id ORDER BY coalesce(list_sum([q.x[i] * c.x[i] for i in range(1, len(q.x) + 1)]), 0) DESC, c.vec_id NULLS LAST
 )
 QUALIFY row_number() OVER best <= 20
 """
