@@ -1,13 +1,12 @@
 """Model explanations.
 
 * Tree families: exact path-dependent TreeSHAP (Lundberg et al., 2018/2020)
-  per row and feature, run as an Arrow ``mapInPandas`` job. The trees are read
-  back from the saved Spark ML model (its node table is Parquet), collected
-  (bounded by trees × nodes, not by data) and broadcast. Contributions add up
+  per row and feature. The trees are read back from the saved Spark ML model
+  (its node table is Parquet) and packed in chunks that meet blocks of rows. Contributions add up
   to the model margin (GBT) or the class-1 probability (random forest).
-* Additive (EBM-like) family: the fitted coefficient of each feature bin is
-  that feature's contribution; the per-term importance is its mean absolute
-  contribution over the rows (a grouped aggregate).
+* Additive (EBM-like) family: the fitted, centred score of each feature bin is
+  that feature's contribution; the shape table lists them, the per-term
+  importance is the mean absolute contribution over the rows.
 * Summary (X5): per feature, mean |contribution|, value range and the
   correlation of value and contribution, from one grouped aggregate.
 """
@@ -15,22 +14,19 @@
 from __future__ import annotations
 
 import logging
+import pickle
 import uuid
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-)
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from propensio.session import work_dir
+from propensio.operators.additive import AdditiveModel
+from propensio.session import materialize, work_dir
 
 log = logging.getLogger(__name__)
 
@@ -41,47 +37,54 @@ TREE_FAMILIES = ("xgboost", "lightgbm", "catboost", "random_forest")
 # tree tables
 # ---------------------------------------------------------------------------
 
-def tree_tables(spark: SparkSession, tree_model) -> list[dict]:
-    """Flat arrays per tree: left, right, feature, threshold, value, cover, weight."""
+def _tree_of(nodes: pd.DataFrame, weight: float, forest: bool) -> dict:
+    """Flat arrays of one tree: left, right, feature, threshold, value, cover, weight."""
+    nodes = nodes.sort_values("id")
+    left, right = nodes["leftChild"].to_numpy(np.int64), nodes["rightChild"].to_numpy(np.int64)
+    inner = left >= 0
+    thr = np.array([t[0] if k else 0.0 for t, k in zip(nodes["threshold"], inner)], dtype=float)
+    stats = [np.asarray(s if s is not None else [], dtype=float) for s in nodes["impurityStats"]]
+    raw = nodes["rawCount"].to_numpy(float)
+    if forest:
+        total = np.array([s.sum() for s in stats])
+        value = np.array([s[1] / t if t > 0 and len(s) > 1 else 0.0 for s, t in zip(stats, total)])
+        cover = np.where(total > 0, total, raw)
+    else:
+        value, cover = nodes["prediction"].to_numpy(float), raw
+    feature = np.where(inner, nodes["feature"].to_numpy(np.int64), -1)
+    return {"left": left, "right": right, "feature": feature, "threshold": thr, "value": value, "cover": cover, "weight": weight}
+
+
+def node_table(spark: SparkSession, tree_model) -> DataFrame:
+    """The saved model's nodes: ``tree, id, prediction, impurityStats, rawCount, leftChild, rightChild, feature, threshold``."""
     path = work_dir(spark, f"trees-{uuid.uuid4().hex}")
     tree_model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.rawCount",
-        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        "nodeData.split.leftCategoriesOrThreshold",
-    ).collect()  # bounded by the model size, not by the data
-    is_rf = isinstance(tree_model, RandomForestClassificationModel)
-    weights = list(tree_model.treeWeights)
-    by_tree: dict[int, list] = {}
-    for r in nodes:
-        by_tree.setdefault(r["treeID"], []).append(r)
-    out = []
-    for tid in sorted(by_tree):
-        rows = sorted(by_tree[tid], key=lambda r: r["id"])
-        n = len(rows)
-        left = np.full(n, -1, dtype=np.int64)
-        right = np.full(n, -1, dtype=np.int64)
-        feat = np.full(n, -1, dtype=np.int64)
-        thr = np.zeros(n)
-        value = np.zeros(n)
-        cover = np.zeros(n)
-        for r in rows:
-            i = r["id"]
-            left[i], right[i] = r["leftChild"], r["rightChild"]
-            if r["leftChild"] >= 0:
-                feat[i] = r["featureIndex"]
-                thr[i] = r["leftCategoriesOrThreshold"][0]
-            stats = list(r["impurityStats"] or [])
-            if is_rf:
-                total = sum(stats)
-                value[i] = stats[1] / total if total > 0 and len(stats) > 1 else 0.0
-                cover[i] = total if total > 0 else float(r["rawCount"])
-            else:
-                value[i] = r["prediction"]
-                cover[i] = float(r["rawCount"])
-        w = weights[tid] / len(weights) if is_rf else weights[tid]
-        out.append({"left": left, "right": right, "feature": feat, "threshold": thr, "value": value,
-                    "cover": cover, "weight": float(w)})
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.rawCount", "nodeData.leftChild",
+        "nodeData.rightChild", F.col("nodeData.split.featureIndex").alias("feature"), F.col("nodeData.split.leftCategoriesOrThreshold").alias("threshold"),
+    )
+
+
+def tree_weights(tree_model) -> list[float]:
+    weights = [float(w) for w in tree_model.treeWeights]
+    return [w / len(weights) for w in weights] if isinstance(tree_model, RandomForestClassificationModel) else weights
+
+
+def tree_tables(spark: SparkSession, tree_model) -> list[dict]:
+    """Flat arrays of every tree on the driver (for small models and tests; ``shap_values`` never collects them)."""
+    weights, forest = tree_weights(tree_model), isinstance(tree_model, RandomForestClassificationModel)
+    nodes = node_table(spark, tree_model).toPandas()
+    return [_tree_of(part, weights[tree], forest) for tree, part in sorted(nodes.groupby("tree"), key=lambda x: x[0])]
+
+
+def tree_chunks(nodes: DataFrame, most: int) -> list[tuple[int, int]]:
+    """(tree, chunk): consecutive trees of together at most ``most`` nodes, or one larger tree. One row a tree reaches the driver."""
+    out, chunk, held = [], 0, 0
+    for r in nodes.groupBy("tree").count().orderBy("tree").collect():
+        if held and held + r["count"] > most:
+            chunk, held = chunk + 1, 0
+        held += r["count"]
+        out.append((r["tree"], chunk))
     return out
 
 
@@ -193,39 +196,104 @@ def ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-SHAP_SCHEMA = T.StructType([
-    T.StructField("ID", T.LongType()),
-    T.StructField("feature", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("contribution", T.DoubleType()),
-])
+#: Most rows of a block and most nodes of a chunk of trees: a task holds one of each.
+SHAP_ROWS, SHAP_NODES = 65_536, 200_000
+_BATCH = 4096  # rows that walk a tree at once
 
 
-def shap_values(df: DataFrame, trees: list[dict], features: list[str], id_col: str = "ID") -> DataFrame:
-    """Long table (ID, feature, value, contribution), one Arrow job."""
-    spark = df.sparkSession
-    ship_by_value()
-    bc = spark.sparkContext.broadcast(trees)  # bounded by the model size
-    names = list(features)
+def _pack_rows(names: list[str]):
+    """The rows of a partition as one block: its number, the row keys, the values as one matrix."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        parts = [pdf for pdf in batches if len(pdf)]
+        if parts:
+            rows = pd.concat(parts)
+            x = rows[names].to_numpy(dtype=float, na_value=np.nan)
+            yield pd.DataFrame({"block": [TaskContext.get().partitionId()], "keys": [rows["key"].tolist()], "x": [x.astype("<f8").tobytes()]})
+
+    return run
+
+
+def _pack_trees(weights: list[float], forest: bool):
+    def run(nodes: pd.DataFrame) -> pd.DataFrame:
+        trees = [_tree_of(part, weights[int(tree)], forest) for tree, part in nodes.groupby("tree")]
+        return pd.DataFrame({"chunk": [nodes["chunk"].iloc[0]], "trees": [pickle.dumps(trees)]})
+
+    return run
+
+
+def _explain_block(m: int):
+    def run(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        """Contributions of one chunk of trees to one block of rows, as one matrix."""
+        if not len(rows) or not len(trees):
+            return pd.DataFrame({"block": [], "phi": []})
+        x = np.frombuffer(rows["x"].iloc[0], "<f8").reshape(-1, m)
+        phi = np.zeros(x.shape)
+        for tree in pickle.loads(trees["trees"].iloc[0]):
+            for at in range(0, len(x), _BATCH):
+                tree_shap_batch(x[at : at + _BATCH], tree, phi[at : at + _BATCH])
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "phi": [phi.astype("<f8").tobytes()]})
+
+    return run
+
+
+def _sum_chunks(batches):
+    """Sum of the matrices of a block; a partition holds whole blocks, in order, so one running sum is kept."""
+    block, total = None, None
+    for pdf in batches:
+        for b, raw in zip(pdf["block"], pdf["phi"]):
+            phi = np.frombuffer(raw, "<f8")
+            if b == block:
+                total = total + phi
+            else:
+                if block is not None:
+                    yield pd.DataFrame({"of": [block], "phi": [total.tobytes()]})
+                block, total = b, phi
+    if block is not None:
+        yield pd.DataFrame({"of": [block], "phi": [total.tobytes()]})
+
+
+def _unpack_rows(names: list[str]):
+    m = len(names)
 
     def run(batches):
-        trees_local = bc.value
         for pdf in batches:
-            X = pdf[names].to_numpy(dtype=float, na_value=np.nan)
-            ids = pdf[id_col].to_numpy()
-            m = len(names)
-            out_phi = np.zeros((len(pdf), m))
-            for t in trees_local:
-                tree_shap_batch(X, t, out_phi)
-            yield pd.DataFrame({
-                "ID": np.repeat(ids, m).astype("int64"),
-                "feature": np.tile(np.array(names, dtype=object), len(pdf)),
-                "value": X.reshape(-1),
-                "contribution": out_phi.reshape(-1),
-            })
-
-    return df.select(F.col(id_col).cast("long").alias(id_col), *[F.col(c).cast("double") for c in names]) \
-        .withColumnRenamed(id_col, id_col).mapInPandas(run, SHAP_SCHEMA)
+            for keys, x, phi in zip(pdf["keys"], pdf["x"], pdf["phi"]):
+                yield pd.DataFrame({
+                    "key": np.repeat(np.asarray(keys, dtype=object), m), "feature": np.tile(np.array(names, dtype=object), len(keys)),
+                    "value": np.frombuffer(x, "<f8"), "contribution": np.frombuffer(phi, "<f8"),
+                })
+
+    return run
+
+
+def shap_values(df: DataFrame, tree_model, features: list[str], id_col: str = "ID", most_nodes: int = SHAP_NODES, most_rows: int = SHAP_ROWS) -> DataFrame:
+    """Long table (id, feature, value, contribution); the id keeps its name and type.
+
+    The model's nodes stay a table: trees are packed in chunks, rows in blocks, every (block, chunk) pair is one
+    group, and a block's contributions are summed over the chunks. Nothing of the model is broadcast
+    or collected, so a forest that grew with the data is spread over the tasks like the rows are.
+    """
+    ship_by_value()
+    spark, names, kind = df.sparkSession, list(features), dict(df.dtypes)[id_col]
+    nodes = node_table(spark, tree_model)
+    chunk_of = tree_chunks(nodes, most_nodes)
+    chunks = max(c for _, c in chunk_of) + 1
+    chunked = nodes.join(F.broadcast(spark.createDataFrame(chunk_of, "tree int, chunk int")), "tree")  # one row a tree
+    packed = chunked.groupBy("chunk").applyInPandas(_pack_trees(tree_weights(tree_model), isinstance(tree_model, RandomForestClassificationModel)), "chunk int, trees binary")
+    thin = df.select(F.col(id_col).cast("string").alias("key"), *[F.col(c).cast("double").alias(c) for c in names])
+    rows = thin.count()
+    count = max(1, -(-rows // most_rows), min(4 * spark.sparkContext.defaultParallelism, -(-rows // 256)))
+    blocks = materialize(thin.repartition(count).mapInPandas(_pack_rows(names), "block int, keys array<string>, x binary"), "shap-rows")
+    left = blocks.select("block", "x", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("part"))
+    right = packed.select("trees", "chunk", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("to"))
+    parts = left.groupBy("block", "part").cogroup(right.groupBy("to", "chunk")).applyInPandas(_explain_block(len(names)), "block int, phi binary")
+    summed = parts.repartition("block").sortWithinPartitions("block").mapInPandas(_sum_chunks, "of int, phi binary")
+    whole = blocks.join(summed, F.col("block") == F.col("of")).select("keys", "x", "phi")
+    out = whole.mapInPandas(_unpack_rows(names), "key string, feature string, value double, contribution double")
+    return out.select(F.col("key").cast(kind).alias(id_col), "feature", "value", "contribution")
 
 
 def shap_summary(contrib: DataFrame) -> DataFrame:
@@ -250,64 +318,17 @@ def _flat_stages(model) -> list:
     return out
 
 
-def additive_shape(base: PipelineModel) -> tuple[list, dict[str, list[float]], list[str]]:
-    """Bucketizers, per-term slot scores (coefficients, dropped slot = 0), term columns.
-
-    Terms are the main-effect bin columns and, when fitted, the pair-cell
-    columns ('a__x__b'); their order is the order of the assembled one-hots.
-    """
-    stages = _flat_stages(base)
-    buckets = [s for s in stages if isinstance(s, Bucketizer)]
-    encoders = [s for s in stages if type(s).__name__ == "OneHotEncoderModel"]
-    lr = next(s for s in reversed(stages) if isinstance(s, LogisticRegressionModel))
-    assembler = [s for s in stages if isinstance(s, VectorAssembler)][-1]
-    coef = lr.coefficients.toArray()
-    sizes, index_col = {}, {}
-    for enc in encoders:
-        sizes.update(zip(enc.getOutputCols(), enc.categorySizes))
-        index_col.update(zip(enc.getOutputCols(), enc.getInputCols()))
-    scores: dict[str, list[float]] = {}
-    terms = []
-    pos = 0
-    for oh in assembler.getInputCols():
-        size = sizes[oh]
-        src = index_col[oh]
-        # handleInvalid=keep adds an 'invalid' slot and dropLast drops it, so
-        # every seen category has a coefficient and the invalid one scores 0
-        scores[src] = [float(v) for v in coef[pos:pos + size]] + [0.0]
-        terms.append(src)
-        pos += size
-    return buckets, scores, terms
-
-
-def _term_name(col: str) -> str:
-    if "__x__" in col:
-        a, b = col.split("__x__")
-        return f"{a} x {b}"
-    return col.rsplit("__bin", 1)[0]
+def additive_model(base: PipelineModel) -> AdditiveModel:
+    return next(s for s in _flat_stages(base) if isinstance(s, AdditiveModel))
 
 
 def additive_terms(base: PipelineModel, df: DataFrame, id_col: str = "ID") -> tuple[DataFrame, DataFrame]:
-    """(shape table (term, slot, score), importance (feature, mean_abs_contribution)).
-
-    A row's contribution of a term is the coefficient of the slot it falls in
-    (a lookup array of at most bins+1 or (k+1)^2 literals per term).
-    """
-    spark = df.sparkSession
-    _buckets, scores, terms = additive_shape(base)
-    shape = spark.createDataFrame(
-        [(_term_name(t), i, s) for t in terms for i, s in enumerate(scores[t])],
-        "feature string, bin int, score double",
-    )
-    prepared = base.transform(df)
-    entries = []
-    for t in terms:
-        lut = F.array(*[F.lit(v) for v in scores[t]])
-        idx = F.least(F.col(t).cast("int"), F.lit(len(scores[t]) - 1)) + 1
-        entries.append(F.struct(F.lit(_term_name(t)).alias("feature"), F.element_at(lut, idx).alias("contribution")))
-    long = prepared.select(id_col, F.explode(F.array(*entries)).alias("e")).select(id_col, "e.feature", "e.contribution")
-    importance = long.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
-    return shape, importance
+    """(shape table, importance (feature, mean_abs_contribution) over the rows of ``df``)."""
+    model = additive_model(base)
+    names = F.lit(model.term_names())
+    long = model.contributions(df).select(id_col, F.explode(F.arrays_zip(names.alias("feature"), F.col("_terms").alias("contribution"))).alias("e"))
+    importance = long.groupBy("e.feature").agg(F.avg(F.abs("e.contribution")).alias("mean_abs_contribution"))
+    return model.shape_table(df.sparkSession), importance
 
 
 # ---------------------------------------------------------------------------
@@ -317,12 +338,12 @@ def additive_terms(base: PipelineModel, df: DataFrame, id_col: str = "ID") -> tu
 def explain_global(model, df: DataFrame, id_col: str = "ID") -> DataFrame | None:
     """Route by family: trees → SHAP summary, additive → term importance."""
     base = model.base_model()
+    stages = _flat_stages(base)
     if model.family in TREE_FAMILIES:
-        tree_stage = next(s for s in base.stages if isinstance(s, (GBTClassificationModel, RandomForestClassificationModel)))
-        trees = tree_tables(df.sparkSession, tree_stage)
-        assembler = next(s for s in base.stages if isinstance(s, VectorAssembler))
-        return shap_summary(shap_values(df, trees, assembler.getInputCols(), id_col))
+        tree_stage = next(s for s in stages if isinstance(s, (GBTClassificationModel, RandomForestClassificationModel)))
+        assembler = next(s for s in stages if isinstance(s, VectorAssembler))
+        return shap_summary(shap_values(df, tree_stage, assembler.getInputCols(), id_col))
     if model.family == "ebm":
         return additive_terms(base, df, id_col)[1]
-    log.warning("No automated explanation for family %s.", model.family)
+    log.warning("no explanation is built for family %s", model.family)
     return None
