@@ -19,7 +19,7 @@ documents) are bags of words and the machine is a multi-instance one:
   a text's value is its largest word's, cut to 0 .. 1, put through a logistic fit.
 
 Sample bounds, the only ones: ``max_texts`` texts of each label (chosen by text hash),
-``MAX_CANDIDATES`` candidate words, ``MAX_NEGATIVES`` clean words. Scoring covers every word of every text.
+``MAX_CANDIDATES`` candidate words, ``MAX_NEGATIVES`` clean words, ``LANDMARKS`` landmarks in all. Scoring covers every word of every text.
 
 Null and empty texts score as a text without toxic words. With no row of either label the
 score is 0.5 less a hair for every text (nothing was learned). Null labels are left out of training.
@@ -43,7 +43,9 @@ from propensio.session import materialize
 
 ORDER, SPAN, DECAY, SYMBOLS = 4, 7, 0.7, 40
 CELLS = SYMBOLS**ORDER
-MAX_CANDIDATES, MAX_NEGATIVES, LANDMARKS, MINING_ROUNDS = 2000, 6000, 256, 4
+MAX_CANDIDATES, MAX_NEGATIVES, LANDMARKS, MINING_ROUNDS = 2000, 6000, 768, 4
+#: Words whose kernel rows are summed at once.
+KERNEL_BLOCK = 500
 #: Characters of a word looked at together; longer words are cut into overlapping pieces of this length.
 PIECE, STEP = 24, 16
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -138,16 +140,33 @@ def word_values(words: list[str], table: np.ndarray, capped: bool = True) -> np.
     return np.minimum(out, 1.0) if capped else out
 
 
-def _sparse(words: list[str]) -> np.ndarray:
-    """Dense normalised features over the cells that occur (training only): words x used cells, and the cells."""
-    rows, cols, vals = [], [], []
-    for at, cells, weight in features(words):
-        norm = _norms(cells, weight)
-        rows.append(np.repeat(at, cells.shape[1]))
-        cols.append(cells.ravel())
-        vals.append((weight[None, :] / norm[:, None]).ravel())
-    rows, cols, vals = (np.concatenate(x) if x else np.empty(0) for x in (rows, cols, vals))
-    return rows.astype(np.int64), cols.astype(np.int64), vals
+def _entries(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised features as (position in ``words``, cell, weight), ordered by cell."""
+    rows, cells, weights = [], [], []
+    for at, found, weight in features(words):
+        rows.append(np.repeat(at, found.shape[1]).astype(np.int32))
+        cells.append(found.ravel().astype(np.int32))
+        weights.append((weight[None, :] / _norms(found, weight)[:, None]).ravel())
+    if not rows:
+        return np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0)
+    row, cell, weight = (np.concatenate(x) for x in (rows, cells, weights))
+    order = np.argsort(cell, kind="stable")
+    return row[order], cell[order], weight[order]
+
+
+def _kernel(words: list[str], land: tuple[np.ndarray, np.ndarray, np.ndarray], n_land: int) -> np.ndarray:
+    """K(words, landmarks) in blocks of words: only cells that both sides hold are multiplied, nothing is dense but the result."""
+    place, cell, weight = land
+    out = np.empty((len(words), n_land))
+    for lo in range(0, len(words), KERNEL_BLOCK):
+        block = words[lo : lo + KERNEL_BLOCK]
+        row, own, w = _entries(block)
+        first, last = np.searchsorted(cell, own), np.searchsorted(cell, own, "right")
+        times = last - first
+        at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+        spot = np.repeat(row.astype(np.int64) * n_land, times) + place[at]
+        out[lo : lo + len(block)] = np.bincount(spot, np.repeat(w, times) * weight[at], len(block) * n_land).reshape(len(block), n_land)
+    return out
 
 
 @dataclass
@@ -281,33 +300,17 @@ def _fit_words(positive: list[str], negative: list[str], hard: list[str]) -> np.
     known_words = set(positive + negative)
     base, positive = len(positive), positive + [v for w in positive for v in _disguised(w) if v not in known_words]
     words = positive + negative
-    marks = list(range(min(len(positive), LANDMARKS))) + [len(positive) + i for i in range(min(len(negative), 2 * LANDMARKS))]
-    rows, cells, vals = _sparse(words)
-    is_mark = np.isin(rows, marks)
-    used, col = np.unique(cells[is_mark], return_inverse=True)
-    place = np.zeros(len(words), dtype=np.int64)
-    place[marks] = np.arange(len(marks))
-    land = np.zeros((len(used), len(marks)), dtype=np.float32)
-    np.add.at(land, (col, place[rows[is_mark]]), vals[is_mark].astype(np.float32))
-    known = np.isin(cells, used)
-    k = np.zeros((len(words), len(marks)))
-    r, c, v = rows[known], np.searchsorted(used, cells[known]), vals[known]
-    order = np.argsort(r, kind="stable")
-    r, c, v = r[order], c[order], v[order]
-    cuts = np.searchsorted(r, np.arange(len(words) + 1))
-    for i in range(len(words)):
-        part = slice(cuts[i], cuts[i + 1])
-        k[i] = v[part].astype(np.float32) @ land[c[part]]
-    values, vectors = np.linalg.eigh((land.T @ land).astype(np.float64))
+    n_positive = min(len(positive), LANDMARKS // 2)  # the surest first; the rest of the landmarks are clean words
+    marks = positive[:n_positive] + negative[: LANDMARKS - n_positive]
+    land = _entries(marks)
+    values, vectors = np.linalg.eigh(_kernel(marks, land, len(marks)))
     root = vectors / np.sqrt(np.maximum(values, 0.03)) @ vectors.T
-    x = k @ root
+    x = _kernel(words, land, len(marks)) @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     weight = np.where(y > 0, 10 * np.sqrt(len(negative) / base), 10.0)
     weight[base : len(positive)] *= 0.2
     beta = root @ _svm(x, y, weight)
-    table = np.zeros(CELLS)
-    table[used] = land @ beta
-    return table
+    return np.bincount(land[1], land[2] * beta[land[0]], CELLS)
 
 
 def _logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
