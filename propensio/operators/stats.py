@@ -3,26 +3,31 @@
 Spark's exact ``percentile``/``median`` keep every distinct value of a column in
 one aggregate buffer, which a global aggregate merges in a single task. For a
 high-cardinality column over billions of rows that does not fit. The exact
-method here needs two passes and never more than a bracket of values:
+method here looks for the values at the two ranks around (n-1)·p and narrows a
+bracket around each rank until few values are left:
 
 1. one aggregate: count, min, max and ``percentile_approx`` just below and just
-   above each wanted probability (rank error at most n/accuracy);
-2. one aggregate over the rows inside each bracket: ``groupBy(column, value)
-   .count()`` (ties collapse), plus one count of the rows below the bracket;
-   a running count over each bracket picks the values at the two ranks
-   around (n-1)·p.
+   above each wanted probability;
+2. one aggregate counts, for every bracket, the rows below it, on its lower end,
+   strictly inside and on its upper end. A rank on an end is found. A rank inside with more than
+   ``FEW`` rows (and distinct values) is narrowed: ``percentile_approx`` of the rows strictly inside, just
+   below and above the rank, and step 2 again. The rows inside shrink to
+   about 6/accuracy of their number each time, whatever the values' distribution,
+   and a value that many rows share becomes an end and is found there. A rank outside (the sketch missed)
+   moves the bracket to that side;
+3. the at most ``FEW`` values left inside are counted per value, and a running count
+   over them picks the rank. No window or buffer grows with the rows.
 
 The driver interpolates linearly at position (n-1)·p, the same rule as SQL
-``quantile_cont`` and
-Spark ``percentile``. If the approximate ranks ever miss, the bracket is
-widened and pass 2 repeated. The result equals Spark's exact ``percentile``.
-Only two rows per requested quantile reach the driver; the sorted running
-count runs per request over the bracket (about 6·n/accuracy distinct values).
+``quantile_cont`` and Spark ``percentile``; the result equals the latter. One row
+per pass and one per rank reach the driver. Null and NaN-free input is the caller's affair: nulls are
+left out, a column without values gives None.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +48,23 @@ def _interpolate(lo_v: float | None, hi_v: float | None, lo_i: int, hi_i: int, p
     return float((hi_i - pos) * lo_v + (pos - lo_i) * hi_v)
 
 
+#: Values that a bracket may hold when it is sorted.
+FEW = 50_000
+
+
+@dataclass
+class _Rank:
+    """The search for the value at a 0-based rank of a column; lo <= value <= hi."""
+
+    column: str
+    rank: int
+    lo: float
+    hi: float
+    below: int = 0  # rows up to and with lo, once counted
+    inside: int = 0
+    value: float | None = None
+
+
 def exact_quantiles(df: DataFrame, requests: dict[str, list[float]], accuracy: int = 100_000, summary: dict | None = None) -> dict[tuple[str, float], float | None]:
     """Exact linear-interpolated quantiles for several columns at once.
 
@@ -54,94 +76,103 @@ def exact_quantiles(df: DataFrame, requests: dict[str, list[float]], accuracy: i
     if not cols:
         return {}
     margin = 3.0 / accuracy
+    probes = {c: sorted({min(1.0, max(0.0, p + d)) for p in requests[c] for d in (-margin, margin)}) for c in cols}
     aggs = []
-    for c in cols:
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n__{c}"), F.min(x).alias(f"mn__{c}"), F.max(x).alias(f"mx__{c}")]
-        probe = sorted({min(1.0, max(0.0, p + d)) for p in requests[c] for d in (-margin, margin)})
-        aggs.append(F.percentile_approx(x, probe, accuracy).alias(f"pa__{c}"))
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.percentile_approx(x, probes[c], accuracy).alias(f"pa{i}")]
     head = df.agg(*aggs).collect()[0]
-    if summary is not None:
-        for c in cols:
-            summary[(c, "count")] = head[f"n__{c}"]
-            summary[(c, "min")] = head[f"mn__{c}"]
-            summary[(c, "max")] = head[f"mx__{c}"]
-    out: dict[tuple[str, float], float | None] = {}
-    pending = []  # (column, p, lo, hi, n)
-    for c in cols:
-        n = head[f"n__{c}"]
+    ranks: dict[tuple[str, int], _Rank] = {}
+    for i, c in enumerate(cols):
+        n = head[f"n{i}"]
+        if summary is not None:
+            summary |= {(c, "count"): n, (c, "min"): head[f"mn{i}"], (c, "max"): head[f"mx{i}"]}
         if not n:
-            for p in requests[c]:
-                out[(c, p)] = None
             continue
-        probe = sorted({min(1.0, max(0.0, p + d)) for p in requests[c] for d in (-margin, margin)})
-        approx = dict(zip(probe, head[f"pa__{c}"]))
+        near = dict(zip(probes[c], head[f"pa{i}"]))
+        for p in requests[c]:
+            bracket = near[min(1.0, max(0.0, p - margin))], near[min(1.0, max(0.0, p + margin))]
+            for r in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
+                ranks.setdefault((c, r), _Rank(c, r, *bracket))
+    ends = {c: (head[f"mn{i}"], head[f"mx{i}"]) for i, c in enumerate(cols)}
+    _search(df, list(ranks.values()), ends, accuracy)
+    out: dict[tuple[str, float], float | None] = {}
+    for i, c in enumerate(cols):
         for p in requests[c]:
-            lo = approx[min(1.0, max(0.0, p - margin))]
-            hi = approx[min(1.0, max(0.0, p + margin))]
-            pending.append((c, p, lo, hi, n, head[f"mn__{c}"], head[f"mx__{c}"]))
-    widen = 0
-    while pending:
-        found = _bracket_pass(df, pending)
-        retry = []
-        for item, (lo_v, hi_v) in zip(pending, found):
-            c, p, lo, hi, n, mn, mx = item
-            pos = (n - 1) * p
-            value = _interpolate(lo_v, hi_v, math.floor(pos), math.ceil(pos), pos)
-            if value is None:
-                retry.append(item)
+            pos = (head[f"n{i}"] - 1) * p
+            if not head[f"n{i}"]:
+                out[(c, p)] = None
             else:
-                out[(c, p)] = value
-        widen += 1
-        # widen missed brackets: after two misses take the whole range
-        pending = [
-            (c, p, mn, mx, n, mn, mx) if widen >= 2 else
-            (c, p, lo - (hi - lo) - 1e-9 * abs(lo), hi + (hi - lo) + 1e-9 * abs(hi), n, mn, mx)
-            for (c, p, lo, hi, n, mn, mx) in retry
-        ]
-        if widen > 3 and pending:
-            raise RuntimeError("quantile bracket could not be resolved")
+                lo, hi = math.floor(pos), math.ceil(pos)
+                out[(c, p)] = _interpolate(ranks[(c, lo)].value, ranks[(c, hi)].value, lo, hi, pos)
     return out
 
 
-def _bracket_pass(df: DataFrame, items: list) -> list[tuple[float | None, float | None]]:
-    """Pass 2: the values at ranks floor((n-1)p) and ceil((n-1)p), found inside each bracket.
+def _search(df: DataFrame, open_ranks: list[_Rank], ends: dict[str, tuple[float, float]], accuracy: int) -> None:
+    """Fill in ``value`` of every rank."""
+    few: list[_Rank] = []
+    while open_ranks:
+        narrow = []
+        for q, (below, at_lo, inside, at_hi) in zip(open_ranks, _count_brackets(df, open_ranks)):
+            if q.rank < below:
+                q.lo, q.hi = ends[q.column][0], q.lo
+            elif q.rank < below + at_lo:
+                q.value = q.lo
+            elif q.rank < below + at_lo + inside:
+                q.below, q.inside = below + at_lo, inside
+                (few if inside <= FEW else narrow).append(q)
+            elif q.rank < below + at_lo + inside + at_hi:
+                q.value = q.hi
+            else:
+                q.lo, q.hi = q.hi, ends[q.column][1]
+        if narrow:
+            few += _narrow(df, narrow, accuracy)
+        open_ranks = [q for q in open_ranks if q.value is None and not any(q is f for f in few)]
+    if few:
+        _pick(df, few)
+
 
-    Rows inside a bracket collapse to (value, count); rows below it to one
-    count. A running count over the (short) sorted bracket, partitioned by
-    request, locates the two wanted ranks; only those rows reach the driver.
-    """
-    spark = df.sparkSession
+def _count_brackets(df: DataFrame, ranks: list[_Rank]) -> list[tuple[int, int, int, int]]:
+    """Rows below each bracket, on its lower end, strictly inside, on its upper end (0 if the ends are equal): one aggregate."""
+    aggs = []
+    for i, q in enumerate(ranks):
+        x, lo, hi = F.col(q.column).cast("double"), F.lit(q.lo), F.lit(q.hi)
+        wanted = x < lo, x == lo, (x > lo) & (x < hi), (x == hi) & (hi > lo)
+        aggs += [F.count_if(w).alias(f"c{i}_{k}") for k, w in enumerate(wanted)]
+    row = df.agg(*aggs).collect()[0]
+    return [tuple(row[f"c{i}_{k}"] for k in range(4)) for i in range(len(ranks))]
+
+
+def _narrow(df: DataFrame, ranks: list[_Rank], accuracy: int) -> list[_Rank]:
+    """New brackets from a sketch of the rows strictly inside; returns the ranks whose bracket holds few distinct values."""
+    aggs = []
+    for i, q in enumerate(ranks):
+        x = F.col(q.column).cast("double")
+        inside = F.when((x > F.lit(q.lo)) & (x < F.lit(q.hi)), x)
+        at = (q.rank - q.below) / q.inside
+        probe = [max(0.0, at - 3.0 / accuracy), min(1.0, at + 3.0 / accuracy)]
+        aggs += [F.percentile_approx(inside, probe, accuracy).alias(f"p{i}"), F.approx_count_distinct(inside).alias(f"d{i}")]
+    row = df.agg(*aggs).collect()[0]
+    few = [q for i, q in enumerate(ranks) if row[f"d{i}"] <= FEW // 2]
+    for i, q in enumerate(ranks):
+        if row[f"d{i}"] > FEW // 2:
+            q.lo, q.hi = row[f"p{i}"]
+    return few
+
+
+def _pick(df: DataFrame, ranks: list[_Rank]) -> None:
+    """The value at each rank among the few values strictly inside its bracket."""
     entries = []
-    for i, (c, _p, lo, hi, _n, _mn, _mx) in enumerate(items):
-        x = F.col(c).cast("double")
-        value = F.when(x >= F.lit(lo), x)  # NULL marks "below the bracket"
-        entries.append(
-            F.when(x.isNotNull() & (x <= F.lit(hi)), F.struct(F.lit(i).alias("i"), value.alias("v")))
-        )
-    exploded = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    counts = exploded.groupBy(F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    below = counts.where(F.col("v").isNull()).select("i", F.col("k").alias("below"))
-    inside = counts.where(F.col("v").isNotNull())
+    for i, q in enumerate(ranks):
+        x = F.col(q.column).cast("double")
+        entries.append(F.when((x > F.lit(q.lo)) & (x < F.lit(q.hi)), F.struct(F.lit(i).alias("i"), x.alias("v"))))
+    inside = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    counts = inside.groupBy(F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(F.count(F.lit(1)).alias("k"))
     upto = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("cum", F.sum("k").over(upto))
-    wanted = spark.createDataFrame(
-        [(i, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for i, (_c, p, _lo, _hi, n, _mn, _mx) in enumerate(items)],
-        "i int, r_lo long, r_hi long",
-    )
-    with_below = ranked.join(below, "i", "left").join(wanted, "i", "inner")  # tiny tables, by request id
-    first = F.coalesce(F.col("below"), F.lit(0)) + F.col("cum") - F.col("k")  # 0-based rank of the first copy
-    last = first + F.col("k") - 1
-    hit_lo = (F.col("r_lo") >= first) & (F.col("r_lo") <= last)
-    hit_hi = (F.col("r_hi") >= first) & (F.col("r_hi") <= last)
-    rows = with_below.where(hit_lo | hit_hi).select("i", "v", hit_lo.alias("is_lo"), hit_hi.alias("is_hi")).collect()
-    found: dict[int, list] = {i: [None, None] for i in range(len(items))}
-    for r in rows:
-        if r["is_lo"]:
-            found[r["i"]][0] = r["v"]
-        if r["is_hi"]:
-            found[r["i"]][1] = r["v"]
-    return [tuple(found[i]) for i in range(len(items))]
+    place = F.element_at(F.lit([q.rank - q.below for q in ranks]), F.col("i") + 1)
+    ranked = counts.withColumn("cum", F.sum("k").over(upto)).where((F.col("cum") > place) & (F.col("cum") - F.col("k") <= place))
+    for r in ranked.collect():  # one row a rank
+        ranks[r["i"]].value = r["v"]
 
 
 def spark_exact_quantiles(df: DataFrame, requests: dict[str, list[float]]) -> dict[tuple[str, float], float | None]:
