@@ -44,8 +44,8 @@ from propensio.session import materialize
 ORDER, SPAN, DECAY, SYMBOLS = 4, 7, 0.7, 40
 CELLS = SYMBOLS**ORDER
 MAX_CANDIDATES, MAX_NEGATIVES, LANDMARKS, MINING_ROUNDS = 2000, 6000, 768, 4
-#: Words whose kernel rows are summed at once.
-KERNEL_BLOCK = 500
+#: Words whose kernel rows are held at once in the fit, pieces whose subsequences are, and products that are summed at once.
+FIT_BLOCK, PIECES_AT_ONCE, PRODUCTS = 100, 2000, 500_000
 #: Characters of a word looked at together; longer words are cut into overlapping pieces of this length.
 PIECE, STEP = 24, 16
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -112,8 +112,8 @@ def features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         idx, weight = _subsequences(length)
         if not len(idx):
             continue
-        for a in range(0, len(rows), 20_000):
-            part = rows[a : a + 20_000]
+        for a in range(0, len(rows), PIECES_AT_ONCE):
+            part = rows[a : a + PIECES_AT_ONCE]
             codes = np.array([r[1] for r in part], dtype=np.int64)
             yield np.array([r[0] for r in part]), sum(codes[:, idx[:, k]] * SYMBOLS ** (ORDER - 1 - k) for k in range(ORDER)), weight
 
@@ -154,19 +154,25 @@ def _entries(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[order], cell[order], weight[order]
 
 
-def _kernel(words: list[str], land: tuple[np.ndarray, np.ndarray, np.ndarray], n_land: int) -> np.ndarray:
-    """K(words, landmarks) in blocks of words: only cells that both sides hold are multiplied, nothing is dense but the result."""
+def _kernel(words: list[str], land: tuple[np.ndarray, np.ndarray, np.ndarray], n_land: int) -> Iterator[np.ndarray]:
+    """K(words, landmarks), ``FIT_BLOCK`` words at a time: only cells that both sides hold are multiplied, nothing is dense but the result."""
     place, cell, weight = land
-    out = np.empty((len(words), n_land))
-    for lo in range(0, len(words), KERNEL_BLOCK):
-        block = words[lo : lo + KERNEL_BLOCK]
-        row, own, w = _entries(block)
-        first, last = np.searchsorted(cell, own), np.searchsorted(cell, own, "right")
-        times = last - first
-        at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-        spot = np.repeat(row.astype(np.int64) * n_land, times) + place[at]
-        out[lo : lo + len(block)] = np.bincount(spot, np.repeat(w, times) * weight[at], len(block) * n_land).reshape(len(block), n_land)
-    return out
+    for lo in range(0, len(words), FIT_BLOCK):
+        block = words[lo : lo + FIT_BLOCK]
+        out = np.zeros(len(block) * n_land)
+        for at, found, gaps in features(block):
+            own = found.ravel()
+            w = (gaps[None, :] / _norms(found, gaps)[:, None]).ravel()
+            row = np.repeat(at * n_land, found.shape[1])
+            first = np.searchsorted(cell, own)
+            times = np.searchsorted(cell, own, "right") - first
+            upto = np.concatenate(([0], np.cumsum(times)))
+            cuts = np.unique(np.append(np.searchsorted(upto, np.arange(0, upto[-1], PRODUCTS)), len(own)))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                t = times[a:b]
+                entry = np.repeat(first[a:b] - upto[a:b] + upto[a], t) + np.arange(upto[b] - upto[a])
+                out += np.bincount(np.repeat(row[a:b], t) + place[entry], np.repeat(w[a:b], t) * weight[entry], len(out))
+        yield out.reshape(len(block), n_land)
 
 
 @dataclass
@@ -274,16 +280,27 @@ def _cover(bags: list[list[int]], n: int, least: float) -> list[int]:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Squared-hinge SVM without offset: Newton steps on the active rows, halved until the loss falls."""
+    """Squared-hinge SVM without offset: Newton steps on the active rows, halved until the loss falls.
+
+    ``x`` (float32) is the only array of its size; sums run over blocks of rows in doubles.
+    """
+    blocks = [slice(at, at + FIT_BLOCK) for at in range(0, len(x), FIT_BLOCK)]
+
+    def margins(w: np.ndarray) -> np.ndarray:
+        return y * np.concatenate([x[b].astype(np.float64) @ w for b in blocks])
 
     def loss(w: np.ndarray) -> float:
-        return ridge * (w @ w) + (weight * np.maximum(0, 1 - y * (x @ w)) ** 2).sum()
+        return ridge * (w @ w) + (weight * np.maximum(0, 1 - margins(w)) ** 2).sum()
 
     w, now = np.zeros(x.shape[1]), float((weight).sum())
     for _ in range(rounds):
-        active = y * (x @ w) < 1
-        xa, wa = x[active], weight[active]
-        step = np.linalg.solve(xa.T @ (wa[:, None] * xa) + ridge * np.eye(len(w)), xa.T @ (wa * y[active])) - w
+        pull = np.where(margins(w) < 1, weight, 0.0)
+        gram, target = ridge * np.eye(len(w)), np.zeros(len(w))
+        for b in blocks:
+            part = x[b].astype(np.float64)
+            gram += part.T @ (pull[b][:, None] * part)
+            target += part.T @ (pull[b] * y[b])
+        step = np.linalg.solve(gram, target) - w
         size, new = 1.0, loss(w + step)
         while new > now and size > 1e-6:
             size /= 2
@@ -300,28 +317,31 @@ def _fit_words(positive: list[str], negative: list[str], hard: list[str]) -> np.
     known_words = set(positive + negative)
     base, positive = len(positive), positive + [v for w in positive for v in _disguised(w) if v not in known_words]
     words = positive + negative
-    n_positive = min(len(positive), LANDMARKS // 2)  # the surest first; the rest of the landmarks are clean words
-    marks = positive[:n_positive] + negative[: LANDMARKS - n_positive]
+    # landmarks are words of one piece: the surest positive ones first, the rest clean words
+    marks = [w for w in positive if len(_pieces(w)) == 1][: LANDMARKS // 2]
+    marks += [w for w in negative if len(_pieces(w)) == 1][: LANDMARKS - len(marks)]
     land = _entries(marks)
-    values, vectors = np.linalg.eigh(_kernel(marks, land, len(marks)))
+    values, vectors = np.linalg.eigh(np.concatenate(list(_kernel(marks, land, len(marks)))))
     root = vectors / np.sqrt(np.maximum(values, 0.03)) @ vectors.T
-    x = _kernel(words, land, len(marks)) @ root
+    x = np.empty((len(words), len(marks)), dtype=np.float32)
+    for k, part in enumerate(_kernel(words, land, len(marks))):
+        x[k * FIT_BLOCK : k * FIT_BLOCK + len(part)] = part @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     weight = np.where(y > 0, 10 * np.sqrt(len(negative) / base), 10.0)
     weight[base : len(positive)] *= 0.2
     beta = root @ _svm(x, y, weight)
-    return np.bincount(land[1], land[2] * beta[land[0]], CELLS)
+    return np.bincount(land[1], land[2] * beta[land[0]], CELLS).astype(np.float32)
 
 
-def _logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Platt's fit with softened targets."""
-    n1, n0 = label.sum(), (1 - label).sum()
+def _logistic(value: np.ndarray, label: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Platt's fit with softened targets of values that occur ``times`` times."""
+    n1, n0 = (times * label).sum(), (times * (1 - label)).sum()
     target = np.where(label > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.stack([value, np.ones(len(value))], axis=1)
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-(x @ w)))
-        grad, hess = x.T @ (p - target) + 1e-3 * w, (x.T * (p * (1 - p))) @ x + 1e-3 * np.eye(2)
+        grad, hess = x.T @ (times * (p - target)) + 1e-3 * w, (x.T * (times * p * (1 - p))) @ x + 1e-3 * np.eye(2)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -352,6 +372,7 @@ def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "
     rows = rows.where("label in (0, 1) and text is not null").where(F.expr("pmod(xxhash64(text), 1048576)") < share * 1048576)
     for k in range(2):  # near copies share their smallest shingle hash: one text of each such group is enough
         rows = rows.mapInPandas(_with_low_hash(k), "text string, label int, low long").groupBy("label", "low").agg(F.min("text").alias("text")).select("text", "label")
+    spark = rows.sparkSession
     rows = materialize(rows, "labelled-texts")
     counts = {0: 0, 1: 0} | {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not (counts[0] and counts[1]):
@@ -375,21 +396,24 @@ def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "
         return ToxicityModel(np.zeros(CELLS), 1.0, -1e-6)
     hard: list[str] = []
     for _ in range(MINING_ROUNDS):
-        table = _fit_words(positive, common + spread, hard)
-        scored = clean.select("word", "n0").mapInPandas(_word_scores(table), "word string, value double, n0 long")
+        table = spark.sparkContext.broadcast(_fit_words(positive, common + spread, hard))
+        scored = clean.select("word").mapInPandas(_word_scores(table), "word string, value double")
         hard = list(dict.fromkeys([r["word"] for r in scored.orderBy(F.desc("value"), "word").limit(MAX_NEGATIVES // 9).collect()] + hard))
+        table.destroy()
     table = _fit_words(positive, common + spread, hard)
     model = ToxicityModel(table, 1.0, 0.0)
     raw = rows.select(F.monotonically_increasing_id().alias("id"), "text", "label")
-    pairs = raw.mapInPandas(_label_values(model), "label int, value double").toPandas()
-    slope, offset = _logistic(pairs["value"].to_numpy(), pairs["label"].to_numpy())
+    # equal values of a label are one point: the fit gets the distinct values with their counts, at most max_texts of each label
+    points = raw.mapInPandas(_label_values(model), "label int, value double").groupBy("label", "value").count().toPandas().sort_values(["label", "value"])
+    slope, offset = _logistic(points["value"].to_numpy(), points["label"].to_numpy(), points["count"].to_numpy())
     return ToxicityModel(table, slope, offset)
 
 
-def _word_scores(table: np.ndarray):
+def _word_scores(table):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = table.value.astype(np.float64)
         for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"], "value": word_values(pdf["word"].tolist(), table, capped=False), "n0": pdf["n0"]})
+            yield pd.DataFrame({"word": pdf["word"], "value": word_values(pdf["word"].tolist(), weights, capped=False)})
 
     return run
 
