@@ -7,8 +7,9 @@ with the fewest bytes wins. A margin under ``min_margin`` of the smallest size i
 true and the score is low, the nearest language is still named.
 
 The dictionaries are the only bound: ``PIECES_PER_LANGUAGE`` pieces of ``PIECE`` characters, one from each of the documents with the
-smallest hashes. Null texts and texts without letters are ``und`` with score 0. With nothing to learn from every
-text is ``und``. Null languages are not learned; ties go to the first language by name.
+smallest hashes; documents of ``SHORT`` characters and more come first, so shorter ones teach a language that lacks those. Null texts and texts without letters are ``und`` with score 0. With nothing to learn from every
+text is ``und``. Null languages are not learned; ties go to the first language by name. Repeated
+rows are judged alike and fill one place of a dictionary; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,16 +24,18 @@ from pyspark.sql import functions as F
 
 PIECE, PIECES_PER_LANGUAGE, LEVEL = 1200, 100, 3
 MIN_MARGIN = 0.02
+#: Texts of fewer characters are learned from only as far as longer ones don't fill a language's dictionary.
+SHORT = 40
 
 
 def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Raw-content dictionary per language."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where("text is not null and lang is not null and length(text) >= 40")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rows = rows.where("length(text) > 0 and lang is not null")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("short", "h"))
     # the limit is pushed below the shuffle, so a language sends a few rows of each partition
     start = F.expr(f"1 + pmod(h, greatest(1, length(text) - {PIECE}))").cast("int")
-    rows = rows.select("lang", F.xxhash64("text").alias("h"), "text").select("lang", "h", F.col("text").substr(start, F.lit(PIECE)).alias("piece"))
+    rows = rows.select("lang", F.xxhash64("text").alias("h"), "text").select("lang", "h", (F.length("text") < SHORT).alias("short"), F.col("text").substr(start, F.lit(PIECE)).alias("piece"))
     kept = rows.withColumn("rank", rank).where(F.col("rank") <= PIECES_PER_LANGUAGE).select("lang", "piece", "rank").collect()
     out: dict[str, list[str]] = {}
     for r in sorted(kept, key=lambda r: (r["lang"], r["rank"])):
