@@ -70,6 +70,7 @@ def _keys(x: np.ndarray, rotations: np.ndarray, width: int, tables: int) -> np.n
 
 def _unit(vectors: list) -> np.ndarray:
     x = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # by a power of two, so squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
