@@ -11,10 +11,11 @@ So the overlaps are those of a full comparison. Other limits keep the exact test
 Every alignment with a seed is compared token by token around its seeds in one pass, and the stretch with the most agreeing tokens beyond ``min_share``
 of its length is reported, one per alignment. A bad stretch between two quotes therefore spoils neither.
 
-The benchmark's seeds are broadcast only when a count shows at most ``BROADCAST_SEEDS``;
+The benchmark's seeds are broadcast only when they stand in at most ``BROADCAST_PLACES`` places;
 beyond that the seeds are shuffled. A document's position meets at most the items that hold the
-same seed. Items of fewer than nine tokens are not searched; null and empty texts
-match nothing; repeated rows and rows that share an id are checked each by itself, the result has each pair once.
+same seed. Items of one to eight tokens, too short for a mask, overlap where all of
+their tokens stand in a row: runs of each such length are joined with the items by hash. Null and empty texts
+match nothing; an empty table on either side gives no overlap; repeated rows and rows that share an id are checked each by itself, the result has each pair once.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from propensio.session import materialize
 SPAN = 9
 #: Kept offsets of the masks.
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 7, 8), (0, 3, 4, 5, 6), (0, 1, 2, 6, 8), (0, 1, 3, 4, 5))
-BROADCAST_SEEDS = 1_000_000
+#: Places (item and position) of seeds that are broadcast at most.
+BROADCAST_PLACES = 1_000_000
 MIN_TOKENS, MIN_SHARE = 12, 0.75
 
 
@@ -72,6 +74,19 @@ def _row_key(id_col: Column, text: Column) -> Column:
     return F.xxhash64(F.coalesce(id_col.cast("string"), F.lit("null")), text)
 
 
+def _short_overlaps(base: DataFrame, items: DataFrame) -> DataFrame:
+    """Whole items of fewer than ``SPAN`` tokens, found as runs of equal tokens. Columns as in ``find_overlaps``."""
+    short = items.where(F.size("b").between(1, SPAN - 1)).select("item", F.size("b").alias("span"), F.xxhash64("b").alias("run"))
+    lengths = sorted(r["span"] for r in short.select("span").distinct().collect())  # eight at most
+    words = base.select("row_key", "id", token_hashes(F.col("text")).alias("w")).where(F.size("w") >= lengths[0])
+    spread = words.select("row_key", "id", "w", F.posexplode("w").alias("first", "_head"))
+    runs = F.array(*[F.when(F.col("first") + n <= F.size("w"), F.struct(F.lit(n).alias("span"), F.xxhash64(F.slice("w", F.col("first") + 1, n)).alias("run"))) for n in lengths])
+    found = spread.select("row_key", "id", "first", F.explode(runs).alias("r")).where("r is not null").select("row_key", "id", "first", "r.span", "r.run")
+    if short.count() <= BROADCAST_PLACES:
+        short = F.broadcast(short)
+    return found.join(short, ["run", "span"]).select("row_key", "id", "item", "first", F.lit(0).alias("item_first"), "span", F.col("span").alias("matched"))
+
+
 def find_overlaps(
     docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -83,7 +98,7 @@ def find_overlaps(
     items = materialize(items.dropDuplicates(), "benchmark-tokens")
     at_item = _seeds(items, "item", F.col("b")).select("seed", F.struct("item", F.col("pos").alias("at")).alias("place"))
     by_seed = materialize(at_item.groupBy("seed").agg(F.collect_set("place").alias("places")), "benchmark-seeds")
-    if by_seed.count() <= BROADCAST_SEEDS:
+    if (by_seed.agg(F.sum(F.size("places"))).collect()[0][0] or 0) <= BROADCAST_PLACES:
         by_seed = F.broadcast(by_seed)
     at_doc = _seeds(base, "row_key", token_hashes(F.col("text")))
     hits = at_doc.join(by_seed, "seed").select("row_key", "pos", F.explode("places").alias("place"))
@@ -102,7 +117,10 @@ def find_overlaps(
         F.least(F.size("w"), F.col("shift") + F.size("b"), F.col("past") + margin).alias("hi"),
     )
     found = found.where("hi - lo >= m").withColumn("best", _best_stretch(min_tokens, min_share)).where("best.surplus >= 0")
-    return found.select("row_key", "id", "item", "best.first", (F.col("best.first") - F.col("shift")).alias("item_first"), "best.span", "best.matched")
+    found = found.select("row_key", "id", "item", "best.first", (F.col("best.first") - F.col("shift")).alias("item_first"), "best.span", "best.matched")
+    if items.where(F.size("b").between(1, SPAN - 1)).isEmpty():
+        return found
+    return found.unionByName(_short_overlaps(base, items))
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
