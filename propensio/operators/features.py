@@ -69,6 +69,11 @@ class FeatureEngineer(Estimator, _FeatureParams, DefaultParamsReadable, DefaultP
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         self._set(**kwargs)
 
+    @property
+    def n_features_out(self) -> int:
+        """Nothing comes out before the fit (the fitted model knows its width)."""
+        return 0
+
     def _fit(self, df: DataFrame) -> "FeatureModel":
         for needed in ("Income", "Wealth"):
             if needed not in df.columns:

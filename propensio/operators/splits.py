@@ -174,7 +174,7 @@ def split_xy(df: DataFrame, target: str, spec: DataSpec = DataSpec(), keep_id: b
     feature list). Unknown target → KeyError.
     """
     if target not in df.columns:
-        raise KeyError(f"Target '{target}' not found in columns.")
+        raise KeyError(f"no label column {target}")
     drop = [c for c in (spec.fold_col, *spec.target_cols) if c in df.columns]
     keep = [c for c in df.columns if c not in drop and (keep_id or c != spec.id_col)]
     return df.select(*keep, F.col(target).cast("int").alias("label"))

@@ -7,6 +7,7 @@ with the tables. Double columns of reports are rounded to 6 places (metrics to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from propensio.operators.features import FeatureEngineer, FeatureModel
 from propensio.session import cut_lineage
 from propensio.session import materialize as materialize_table
 from propensio.session import write_work_table
-from propensio.sources.tables import clients_view
+from propensio.sources.tables import clients_view, read_driver_table
 
 SPEC = DataSpec()
 FSPEC = FeatureSpec()
@@ -68,8 +69,9 @@ _FEATURES: dict = {}
 
 
 def _artifact_key(spark: SparkSession, sf_dir: str, spec: DataSpec) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spec)
-
+    """Application, table files (a rewritten table has others) and settings."""
+    files = tuple(sorted(f for t in ("customer", "orders") for f in read_driver_table(spark, sf_dir, t).inputFiles()))
+    return (spark.sparkContext.applicationId, files, spec)
 
 
 def fitted_features(spark: SparkSession, sf_dir: str, spec: DataSpec = SPEC) -> tuple[DataFrame, FeatureModel]:
@@ -98,6 +100,23 @@ def q_clients_view(spark, sf_dir):
     return clients_view(spark, sf_dir)
 
 
+def q_typed_csv_clients(spark, sf_dir):
+    """The client table written as CSV with a header and read back with declared types."""
+    from propensio.session import work_dir
+    from propensio.sources.files import read_clients
+
+    clients = clients_view(spark, sf_dir)
+    path = work_dir(spark, f"clients-{uuid.uuid4().hex}.csv")
+    clients.select(*reversed(clients.columns)).write.option("header", True).csv(path)
+    return read_clients(spark, path, schema=clients.schema).select(*clients.columns)
+
+
+def q_label_folds(spark, sf_dir):
+    """T5: stratified folds on one label over the train/val block (trial scoring and calibration)."""
+    tv = splits.split_xy(splits.train_val_block(folded(spark, sf_dir)), SPEC.primary_target)
+    return splits.assign_label_folds(tv, "label", SPEC.n_splits, SPEC.seed, SPEC.id_col).select(SPEC.id_col, "label", F.col("_cv_fold").alias("fold"))
+
+
 def q_freeze_folds(spark, sf_dir):
     return folded(spark, sf_dir, materialize=False)
 
@@ -215,14 +234,14 @@ def q_isotonic_calibration(spark, sf_dir):
 
 
 def q_isotonic_calibration_unrounded(spark, sf_dir):
-    """Isotonic fit as the trainer calls it: the probability before any rounding, every distinct score."""
+    """Isotonic fit as the trainer calls it: the probability before any rounding, every distinct score (reported rounded)."""
     from propensio.functions.scores import probe_logit
     from propensio.operators.calibration import fit_isotonic, isotonic_points
 
     fm, _ = feature_matrix(spark, sf_dir)
     oof = splits.train_val_block(fm).select((F.lit(1.0) / (F.lit(1.0) + F.exp(-probe_logit()))).alias("raw_score"), "label")
     iso = fit_isotonic(oof)
-    return iso.transform(isotonic_points(oof).select("raw_score")).select("raw_score", "score")
+    return round_doubles(iso.transform(isotonic_points(oof).select("raw_score")).select("raw_score", "score"))
 
 
 def probe_scored_test(spark, sf_dir):
@@ -319,8 +338,7 @@ def q_corr_dedup(spark, sf_dir):
 
     fm, _ = feature_matrix(spark, sf_dir)
     exprs = pairwise_exprs(list(FSPEC.base_cols))
-    # materialise the 93 columns once: the pair aggregate then reads plain columns
-    tv = cut_lineage(splits.train_val_block(fm).select(*ENGINEERED, *[e.alias(n) for n, e in exprs.items()]))
+    tv = splits.train_val_block(fm).select(*ENGINEERED, *[e.alias(n) for n, e in exprs.items()])
     return round_doubles(correlation_filter(tv, list(exprs), ENGINEERED))
 
 
@@ -330,7 +348,8 @@ def _both_targets(spark, sf_dir, family: str, calibration: str = "isotonic"):
     from propensio.operators.metrics import binary_metrics
     from propensio.operators.models import PropensityModel
 
-    fm = cut_lineage(both_label_matrix(spark, sf_dir))
+    # written by fold, so the blocks read their own files; a fit deals its rows over as many tasks as they fill
+    fm = materialize_table(both_label_matrix(spark, sf_dir), "training-matrix", [SPEC.fold_col])
 
     def one(target):
         data = fm.withColumn("label", F.col(target).cast("int"))
@@ -357,10 +376,10 @@ def q_tuned_random_forest(spark, sf_dir):
     """Seeded random search for the forest, every configured trial on both targets."""
     from propensio.operators.tuning import best_trials, random_search, trials_frame
 
-    tv = cut_lineage(splits.train_val_block(both_label_matrix(spark, sf_dir)))
+    tv = materialize_table(splits.train_val_block(both_label_matrix(spark, sf_dir)), "training-matrix")
     trials = None
     for target in SPEC.target_cols:
-        results = random_search(tv.withColumn("label", F.col(target).cast("int")), "random_forest", parallelism=3)
+        results = random_search(tv.withColumn("label", F.col(target).cast("int")), "random_forest", parallelism=8)
         part = trials_frame(spark, target, results)
         trials = part if trials is None else trials.unionByName(part)
     best = best_trials(trials).select("target", F.col("trial").alias("best_trial"))
@@ -371,7 +390,7 @@ def _explained_model(spark, sf_dir, family):
     from propensio.operators.models import PropensityModel
 
     fm, _ = feature_matrix(spark, sf_dir)
-    fm = cut_lineage(fm)
+    fm = materialize_table(fm, "training-matrix", [SPEC.fold_col])
     model = PropensityModel(family, calibration="none").fit(splits.train_val_block(fm))
     return fm, model
 
@@ -392,23 +411,31 @@ def q_additive_terms(spark, sf_dir):
     return explain_global(model, splits.test_block(fm))
 
 
+def q_additive_shapes(spark, sf_dir):
+    """Centred shape function of every term of the additive family."""
+    from propensio.operators.explain import additive_model
+
+    _, model = _explained_model(spark, sf_dir, "ebm")
+    return additive_model(model.base_model()).shape_table(spark)
+
+
 def q_top_features(spark, sf_dir):
-    """D3/L4: top 15 generated + engineered features by boosted-tree importance."""
+    """D3/L4: top 15 generated features by boosted-tree importance, the engineered ones competing in the trees."""
     from pyspark.ml import Pipeline
 
-    from propensio.operators.models import base_stages
-    from propensio.operators.synthesis import pairwise_exprs, top_features
+    from propensio.operators.models import base_stages, sized_for_fitting
+    from propensio.operators.synthesis import MISSING, pairwise_exprs, top_features
 
     fm, _ = feature_matrix(spark, sf_dir)
     exprs = pairwise_exprs(list(FSPEC.base_cols))
     names = FSPEC.feature_cols + list(exprs)
-    # trees here take no missing values: an undefined ratio (÷0) counts as 0
     tv = splits.train_val_block(fm).select(
-        "label", *FSPEC.feature_cols, *[F.coalesce(e, F.lit(0.0)).alias(n) for n, e in exprs.items()])
-    fitted = Pipeline(stages=base_stages("xgboost", features=names)).fit(tv.withColumn("label", F.col("label").cast("double")))
-    gbt = fitted.stages[-1]
+        SPEC.id_col, "label", *FSPEC.feature_cols, *[F.coalesce(e, F.lit(MISSING)).alias(n) for n, e in exprs.items()])
+    tv = sized_for_fitting(tv.withColumn("label", F.col("label").cast("double")), SPEC.id_col).persist()
+    gbt = Pipeline(stages=base_stages("xgboost", features=names)).fit(tv).stages[-1]
+    tv.unpersist()
     imp = dict(zip(names, gbt.featureImportances.toArray().tolist()))
-    rows = [(i + 1, n, float(v)) for i, (n, v) in enumerate(top_features(imp, 15))]
+    rows = [(i + 1, n, float(v)) for i, (n, v) in enumerate(top_features({n: imp[n] for n in exprs}, 15))]
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
 
 
@@ -423,6 +450,8 @@ def q_boruta_selection(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clients_view": q_clients_view,
+    "typed_csv_clients": q_typed_csv_clients,
+    "label_folds": q_label_folds,
     "freeze_folds": q_freeze_folds,
     "fold_counts": q_fold_counts,
     "split_counts": q_split_counts,
@@ -452,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tuned_random_forest": q_tuned_random_forest,
     "shap_summary": q_shap_summary,
     "additive_terms": q_additive_terms,
+    "additive_shapes": q_additive_shapes,
     "top_features": q_top_features,
     "boruta_selection": q_boruta_selection,
 }

@@ -19,7 +19,7 @@ from propensio.operators.features import FeatureEngineer, FeatureModel
 from propensio.operators.metrics import binary_metrics
 from propensio.operators.models import PropensityModel, model_file_name
 from propensio.session import cut_lineage
-from propensio.sources.files import read_client_file, read_table, write_json_rows
+from propensio.sources.files import read_client_file, read_clients, read_table, write_json_rows
 
 log = logging.getLogger(__name__)
 
@@ -53,11 +53,11 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
     if not overwrite:
         try:
             existing = read_table(spark, path, settings.frozen_format)
-            log.info("Frozen dataset already exists at '%s'.", path)
+            log.info("folds were assigned before, reading %s", path)
             return existing
         except FileNotFoundError:
             pass
-    raw = read_table(spark, source) if isinstance(source, str) else source
+    raw = read_clients(spark, source) if isinstance(source, str) else source
     quality.check_schema(raw, spec)
     quality.check_unique_ids(raw, spec.id_col)
     n_rows = raw.count()
@@ -84,6 +84,7 @@ def freeze(spark: SparkSession, source: DataFrame | str, settings: Settings, ove
 def load_frozen(spark: SparkSession, settings: Settings) -> DataFrame:
     df = read_client_file(spark, settings.frozen_path, use_frozen=True, fmt=settings.frozen_format)
     quality.check_schema(df, settings.data, require_fold=True)
+    quality.check_unique_ids(df, settings.data.id_col)
     return df
 
 
@@ -96,7 +97,7 @@ def xy_matrix(frozen: DataFrame, features: FeatureModel, target: str, settings:
     """ID, fold, features and ``label`` of ``target`` (other targets dropped)."""
     spec = settings.data
     if target not in frozen.columns:
-        raise KeyError(f"Target '{target}' not found in columns.")
+        raise KeyError(f"no label column {target}")
     xy = frozen.select(spec.id_col, spec.fold_col, *[c for c in settings.features.base_cols if c in frozen.columns],
                        F.col(target).cast("int").alias("label"))
     return features.transform(xy)
@@ -132,29 +133,38 @@ def _model(settings: Settings, params: dict | None = None) -> PropensityModel:
 def train(spark: SparkSession, settings: Settings) -> DataFrame:
     """Per target: fit features (once), fit + calibrate, evaluate on the blind set, save.
 
-    Returns the performance report (target, metrics...) and writes it as JSON.
+    Each saved model is one pipeline that starts with the fitted features, with a print of the frozen table, so
+    training another family or freezing anew changes no stored model. Returns the performance report (target,
+    metrics...) and writes it as JSON.
     """
     frozen = load_frozen(spark, settings)
-    features = fit_features(frozen, settings)
-    features.write().overwrite().save(f"{settings.artifacts_dir}/feature_model")
+    features, frozen_print = fit_features(frozen, settings), quality.table_print(frozen)
     reports = []
     tuned = tuned_params(spark, settings) if settings.use_tuned_params else {}
     for target in settings.data.target_cols:
         fm = xy_matrix(frozen, features, target, settings).persist()
         params = {**settings.params, **tuned.get(target, {})}
         model = _model(settings, params).fit(splits.train_val_block(fm, settings.data), id_col=settings.data.id_col)
+        model.feature_model, model.frozen_print = features, frozen_print
         scored = model.predict_proba(splits.test_block(fm, settings.data))
-        reports.append(binary_metrics(scored, threshold=settings.threshold).select(F.lit(target).alias("target"), "*"))
+        reports.append(cut_lineage(binary_metrics(scored, threshold=settings.threshold).select(F.lit(target).alias("target"), "*")))
         model.save(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
         fm.unpersist()
     perf = reports[0]
     for r in reports[1:]:
         perf = perf.unionByName(r)
-    perf = cut_lineage(perf)
     write_json_rows(perf, f"{settings.artifacts_dir}/{settings.family}_performance")
     return perf
 
 
+def load_model(settings: Settings, target: str, frozen: DataFrame) -> PropensityModel:
+    """The stored model of a target; says so when the frozen table isn't the one it was trained on."""
+    model = PropensityModel.load(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
+    if model.frozen_print != quality.table_print(frozen):
+        log.warning("%s was trained on another frozen table than %s", model_file_name(settings.family, target), settings.frozen_path)
+    return model
+
+
 def tuned_params(spark: SparkSession, settings: Settings) -> dict[str, dict]:
     """Best trial parameters per target, as written by ``tune``."""
     import json
@@ -165,13 +175,12 @@ def tuned_params(spark: SparkSession, settings: Settings) -> dict[str, dict]:
 
 
 def evaluate(spark: SparkSession, settings: Settings, target: str | None = None) -> DataFrame:
-    """Score the blind test block with a stored model; no refit of features."""
+    """Score the blind test block with a stored model and the features stored in it; nothing is refitted."""
     target = target or settings.data.primary_target
     frozen = load_frozen(spark, settings)
-    features = FeatureModel.load(f"{settings.artifacts_dir}/feature_model")
-    model = PropensityModel.load(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
-    fm = xy_matrix(splits.test_block(frozen, settings.data), features, target, settings)
-    metrics = binary_metrics(model.predict_proba(fm), threshold=settings.threshold)
+    model = load_model(settings, target, frozen)
+    scored = model.score_clients(splits.test_block(frozen, settings.data)).withColumn("label", F.col(target).cast("int"))
+    metrics = binary_metrics(scored, threshold=settings.threshold)
     write_json_rows(metrics, f"{settings.artifacts_dir}/evaluation_metrics", local_copy=settings.metrics_file)
     return metrics
 
@@ -221,17 +230,18 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
           n_queries: int | None = None, target: str | None = None) -> dict[str, DataFrame]:
     """Global explanation of the stored model and counterfactuals for rejected clients.
 
-    Clients without a counterfactual after the last round are in ``counterfactuals_open``.
+    Clients without a counterfactual after the last round are in ``counterfactuals_open``. For the additive
+    family the shape table of every term is written too (``shapes``).
     ``n_queries`` None explains every rejected client (the reference takes 2).
     """
     from propensio.operators import counterfactuals as cf
-    from propensio.operators.explain import explain_global
+    from propensio.operators.explain import additive_model, explain_global
 
     spec = settings.data
     target = target or spec.primary_target
     frozen = load_frozen(spark, settings)
-    features = FeatureModel.load(f"{settings.artifacts_dir}/feature_model")
-    model = PropensityModel.load(f"{settings.artifacts_dir}/{model_file_name(settings.family, target)}")
+    model = load_model(settings, target, frozen)
+    features = model.feature_model
     test_fm = xy_matrix(splits.test_block(frozen, spec), features, target, settings)
     explanation = explain_global(model, test_fm)
     ranges = cf.training_ranges(splits.train_val_block(frozen, spec))
@@ -254,7 +264,11 @@ def audit(spark: SparkSession, settings: Settings, n_counterfactuals: int = 3, n
     out.write.mode("overwrite").json(f"{settings.artifacts_dir}/counterfactuals")
     if explanation is not None:  # S16: the table behind the plot
         explanation.write.mode("overwrite").parquet(f"{settings.artifacts_dir}/explanation_{settings.family}")
-    return {"explanation": explanation, "counterfactuals": out, "counterfactuals_open": open_clients}
+    result = {}
+    if settings.family == "ebm":
+        result["shapes"] = additive_model(model.base_model()).shape_table(spark)
+        result["shapes"].write.mode("overwrite").parquet(f"{settings.artifacts_dir}/shapes_{settings.family}")
+    return result | {"explanation": explanation, "counterfactuals": out, "counterfactuals_open": open_clients}
 
 
 ACTIONS = ("data_prep", "train", "tune", "evaluate", "audit")
@@ -264,7 +278,7 @@ def run_action(action: str, spark: SparkSession, settings: Settings, **kwargs):
     """Dispatch one of the five actions by name (V9: unknown → ValueError)."""
     table = {"data_prep": data_prep, "train": train, "tune": tune, "evaluate": evaluate, "audit": audit}
     if action not in table:
-        raise ValueError(f"Unknown pipeline action: '{action}'.")
+        raise ValueError(f"{action!r} is none of {', '.join(ACTIONS)}")
     if action == "data_prep":
         return data_prep(spark, kwargs.pop("source"), settings, kwargs.pop("out_dir"), **kwargs)
     return table[action](spark, settings, **kwargs)

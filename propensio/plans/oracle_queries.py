@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from propensio.functions.hashing import md5_uniform_sql
-from propensio.functions.scores import probe_score_sql
+from propensio.functions.scores import PROBE_TERMS, probe_score_sql
 from propensio.plans.oracle import (
     BASE,
     features_select,
@@ -26,6 +26,15 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["clients_view"] = "WITH " + CLIENTS_SQL + "\nSELECT * FROM clients"
 
+ORACLE["typed_csv_clients"] = ORACLE["clients_view"]
+
+ORACLE["label_folds"] = folds_ctes() + """,
+_l AS (SELECT ID, CAST(IncomeInvestment AS INTEGER) AS label, _okey FROM folded JOIN (SELECT ID, _okey FROM _k) USING (ID) WHERE stratified_fold >= 0),
+_lr AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY _okey, ID) AS _rank FROM _l),
+_lc AS (SELECT label, count(*) AS _c FROM _l GROUP BY label),
+_lo AS (SELECT label, coalesce(sum(_c) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off FROM _lc)
+SELECT ID, label, CAST((_off + _rank - 1) % 5 AS INTEGER) AS fold FROM _lr JOIN _lo USING (label)"""
+
 ORACLE["freeze_folds"] = folds_ctes() + "\nSELECT * FROM folded"
 
 ORACLE["fold_counts"] = folds_ctes() + """
@@ -111,6 +120,19 @@ ab AS (SELECT a.i AS a, b.i AS b, CAST(b.cpos - a.cpos + a.pos AS DOUBLE) / CAST
 per AS (SELECT o.i, o.raw_score, a, min(m) AS mn FROM o JOIN ab ON ab.a <= o.i AND ab.b >= o.i GROUP BY o.i, o.raw_score, a)
 SELECT round(raw_score, {R}) AS raw_score, round(max(mn), {R}) AS score FROM per GROUP BY raw_score"""
 
+_LOGIT = " + ".join(f"({w}) * (coalesce({n}, {c}) - {c})" for n, c, w in PROBE_TERMS)
+
+# every distinct score: the largest over a <= i of the smallest over b >= i of the mean label of scores a to b
+ORACLE["isotonic_calibration_unrounded"] = matrix_cte() + f""",
+g AS (SELECT 1.0 / (1.0 + exp(-({_LOGIT}))) AS raw_score, sum(label) AS pos, count(*) AS cnt FROM fm WHERE stratified_fold >= 0 GROUP BY 1),
+o AS (SELECT *, row_number() OVER (ORDER BY raw_score) AS i,
+             sum(pos) OVER (ORDER BY raw_score) AS cpos, sum(cnt) OVER (ORDER BY raw_score) AS ccnt FROM g),
+ab AS (SELECT a.i AS a, b.i AS b, CAST(b.cpos - a.cpos + a.pos AS DOUBLE) / CAST(b.ccnt - a.ccnt + a.cnt AS DOUBLE) AS m
+       FROM o a JOIN o b ON a.i <= b.i),
+low AS (SELECT a, b, min(m) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS m FROM ab),
+fit AS (SELECT b AS i, max(m) AS score FROM low GROUP BY b)
+SELECT round(raw_score, {R}) AS raw_score, round(score, {R}) AS score FROM o JOIN fit USING (i)"""
+
 _ST_TEST = folds_ctes() + stats_cte() + f""",
 tb AS (SELECT * FROM folded WHERE stratified_fold = -1),
 tf AS (SELECT f.ID, {features_select('f')} FROM tb f CROSS JOIN st),
@@ -135,7 +157,9 @@ def _cf_value(c: str) -> str:
     return f"CASE WHEN {u_mask} < 0.5 THEN {drawn} ELSE r.{c} END"
 
 
-_CF_BASE = _ST_TEST + f""",
+def _cf_base(last: int) -> str:
+    """Candidates 1 to ``last`` of every rejected client, scored."""
+    return _ST_TEST + f""",
 rg AS (SELECT {', '.join(f'CAST(min({c}) AS DOUBLE) AS mn_{c}, CAST(max({c}) AS DOUBLE) AS mx_{c}' for c in _VARY)}
        FROM folded WHERE stratified_fold >= 0),
 r AS (SELECT * FROM ts WHERE score < 0.5),
@@ -143,7 +167,7 @@ c0 AS (SELECT r.ID, CAST(t.cand AS INTEGER) AS cand, {', '.join('r.' + c for c i
               {', '.join(f'{_cf_value(c)} AS {c}' for c in _VARY)},
               {', '.join(f'r.{c} AS old_{c}' for c in _VARY)},
               {', '.join(f'rg.mx_{c} - rg.mn_{c} AS span_{c}' for c in _VARY)}
-       FROM r CROSS JOIN range(1, 201) t(cand) CROSS JOIN rg),
+       FROM r CROSS JOIN range(1, {last + 1}) t(cand) CROSS JOIN rg),
 c1 AS (SELECT *,
               {' + '.join(f'CAST({c} IS DISTINCT FROM old_{c} AS INTEGER)' for c in _VARY)} AS n_changed,
               {' + '.join(f'(CASE WHEN {c} IS DISTINCT FROM old_{c} THEN coalesce(abs(CAST({c} AS DOUBLE) - CAST(old_{c} AS DOUBLE)) / nullif(span_{c}, 0), 1.0) ELSE 0.0 END)' for c in _VARY)} AS distance
@@ -155,6 +179,8 @@ cs AS (SELECT ID, cand, v_Income AS Income, v_Wealth AS Wealth, v_FamilyMembers
               {probe_score_sql('cf')} AS score
        FROM cf)"""
 
+_CF_BASE = _cf_base(200)
+
 ORACLE["cf_candidates"] = _CF_BASE + f"""
 SELECT ID, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed,
        round(distance, {R}) AS distance, round(score, {R}) AS score
@@ -166,6 +192,17 @@ SELECT ID, cf_rank, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS We
        round(distance, {R}) AS distance, round(score, {R}) AS score
 FROM rk WHERE cf_rank <= 3"""
 
+# ten rounds of 200; a client's counterfactuals come from the first round that flips any
+ORACLE["counterfactuals_complete"] = _cf_base(2000) + f""",
+hits AS (SELECT *, CAST((cand - 1) // 200 AS INTEGER) AS rnd FROM cs WHERE score >= 0.5),
+firsts AS (SELECT *, min(rnd) OVER (PARTITION BY ID) AS first_rnd FROM hits),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY ID ORDER BY n_changed, distance, cand) AS INTEGER) AS cf_rank FROM firsts WHERE rnd = first_rnd),
+best AS (SELECT *, count(*) OVER (PARTITION BY ID) AS n_found FROM rk WHERE cf_rank <= 3)
+SELECT ID, cf_rank, cand, round(Income, {R}) AS Income, round(Wealth, {R}) AS Wealth, FamilyMembers, n_changed, round(distance, {R}) AS distance,
+       round(score, {R}) AS score, CAST((rnd + 1) * 200 AS INTEGER) AS n_drawn, n_found FROM best
+UNION ALL
+SELECT ID, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 2000, 0 FROM r WHERE ID NOT IN (SELECT ID FROM hits)"""
+
 import itertools as _it
 
 _PAIR = {}

@@ -131,3 +131,26 @@ def test_exact_quantiles_equal_spark_percentile(spark, n, seed):
     df = spark.createDataFrame(rows, "x double")
     req = {"x": [0.0, 0.25, 0.5, 0.99, 1.0]}
     assert exact_quantiles(df, req, accuracy=50) == spark_exact_quantiles(df, req)
+
+
+@pytest.mark.parametrize("few", [2, 10])
+def test_quantile_search_narrows_until_few_values_are_left(spark, monkeypatch, few):
+    import random
+
+    from propensio.operators import stats
+
+    monkeypatch.setattr(stats, "FEW", few)
+    rnd = random.Random(few)
+    columns = {
+        "spread": lambda i: rnd.random() * 10.0 ** rnd.randint(-200, 200), "tied": lambda i: float(rnd.choice([1, 1, 1, 2, 3])), "half": lambda i: 4.0 if i % 2 else rnd.random() * 8,
+        "holes": lambda i: None if i % 3 else float(i), "same": lambda i: 9.0, "empty": lambda i: None,
+    }
+    rows = [tuple(f(i) for f in columns.values()) for i in range(900)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    req = {c: [0.0, 0.01, 0.5, 0.77, 0.99, 1.0] for c in columns}
+    got, want = exact_quantiles(df, req, accuracy=20), spark_exact_quantiles(df, req)
+    assert got == want
+
+
+def test_engineer_has_no_width_before_the_fit():
+    assert FeatureEngineer().n_features_out == 0

@@ -40,3 +40,25 @@ def test_actions_end_to_end(spark, tmp_path):
     cfs = out["counterfactuals"].collect()
     assert all(r["score"] >= 0.5 for r in cfs)
     assert all(r["cf_rank"] <= 3 for r in cfs)
+
+
+def test_families_trained_after_different_freezes_evaluate_as_at_training(spark, tmp_path, caplog):
+    clients = clients_view(spark, SF_SMALL)
+    art = str(tmp_path / "art")
+    first = flows.Settings(frozen_path=str(tmp_path / "a.parquet"), artifacts_dir=art, family="ebm", params={"outer_bags": 2, "interactions": 2, "max_bins": 16}, calibration="none")
+    second = flows.Settings(frozen_path=str(tmp_path / "b.parquet"), artifacts_dir=art, family="random_forest", tree_scale=0.05, calibration="none")
+    flows.freeze(spark, clients, first)
+    flows.freeze(spark, clients.withColumn("Income", F.col("Income") * 3 + 1000).where("ID % 5 <> 1"), second)
+    perf = {}
+    for s in (first, second):
+        perf[s.family] = {r["target"]: r.asDict() for r in flows.train(spark, s).collect()}
+    for s in (first, second):
+        for target, want in perf[s.family].items():
+            got = flows.evaluate(spark, s, target).collect()[0].asDict()
+            assert got == {k: v for k, v in want.items() if k != "target"}
+    assert "another frozen table" not in caplog.text
+    with caplog.at_level("WARNING"):
+        flows.evaluate(spark, flows.Settings(frozen_path=second.frozen_path, artifacts_dir=art, family="ebm"))
+    assert "another frozen table" in caplog.text
+    out = flows.audit(spark, first, n_candidates=20)
+    assert out["shapes"].where("feature = 'Income'").count() > 1 and spark.read.parquet(f"{art}/shapes_ebm").count() == out["shapes"].count()

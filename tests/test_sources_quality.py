@@ -78,3 +78,24 @@ def test_freeze_rejects_impossible_test_size(spark, tmp_path):
                         data=DataSpec(test_size=5000))
     with pytest.raises(ValueError):
         freeze(spark, clients_view(spark, SF_MID), settings)
+
+
+def test_typed_csv_matches_the_header_and_reports_bad_rows(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from propensio.sources.files import bad_rows, read_clients, sound_rows
+
+    schema = T.StructType([T.StructField("ID", T.LongType()), T.StructField("Age", T.IntegerType()), T.StructField("Income", T.DoubleType())])
+    p = tmp_path / "clients.csv"
+    p.write_text(" Income ,ID,note, Age\n1.5,1,x,30\nNaN,2,y,41\n,3,z,\nmuch,4,w,50\n2.5,5,v,old\n")
+    marked = read_clients(spark, str(p), schema=schema, report_bad=True)
+    good = sound_rows(marked)
+    assert good.dtypes == [("Income", "double"), ("ID", "bigint"), ("note", "string"), ("Age", "int")]
+    assert sorted((r.ID, r.Income, r.Age) for r in good.collect()) == [(1, 1.5, 30), (2, None, 41), (3, None, None)]
+    assert sorted(r["_corrupt_record"] for r in bad_rows(marked).collect()) == ["2.5,5,v,old", "much,4,w,50"]
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        read_clients(spark, str(p), schema=schema).collect()
+    with pytest.raises(ValueError, match="Wealth"):
+        read_clients(spark, str(p), schema=T.StructType([*schema.fields, T.StructField("Wealth", T.DoubleType())]))
+    with pytest.raises(FileNotFoundError):
+        read_clients(spark, str(tmp_path / "none.csv"))
