@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensio.session import materialize
+
 #: (host suffix, path prefix, verdict)
 RULES = [
     ("com", "/", "allow"),
@@ -81,14 +83,16 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, multi_suffixes: tuple
     """
     counted = outcomes.where("bad in (0, 1)").groupBy("host").agg(F.sum("bad").cast("double").alias("bad"), F.count("*").cast("double").alias("n"))
     known = with_domain(hosts.select("host").distinct().join(counted, "host", "left").na.fill(0.0, ["bad", "n"]), multi_suffixes)
-    domains = known.groupBy("suffix", "domain").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    # every level is read several times (sums, strength, posterior), so it is written once
+    known = materialize(known, "hosts")
+    domains = materialize(known.groupBy("suffix", "domain").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     whole = suffixes.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m"))
-    with_m = suffixes.crossJoin(F.broadcast(whole))  # one row
+    with_m = materialize(suffixes.crossJoin(F.broadcast(whole)), "suffixes")  # one row beside each
     suffixes = with_m.crossJoin(F.broadcast(_strength(with_m))).select("suffix", F.expr("(bad + s * m) / (n + s)").alias("m"))
-    with_m = domains.join(suffixes, "suffix")
+    with_m = materialize(domains.join(suffixes, "suffix"), "domain-priors")
     domains = with_m.crossJoin(F.broadcast(_strength(with_m))).select("domain", F.expr("(bad + s * m) / (n + s)").alias("m"))
-    with_m = known.join(domains, "domain")
+    with_m = materialize(known.join(domains, "domain"), "host-priors")
     post = with_m.crossJoin(F.broadcast(_strength(with_m))).withColumn("a", F.expr("bad + s * m")).withColumn("b", F.expr("n - bad + s * (1 - m)"))
     mean = F.expr("a / (a + b)")
     return post.select("host", "n", mean.alias("mean"), (mean - Z * F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))).alias("lower"))
@@ -103,6 +107,7 @@ def judge_urls(
     ``outcomes``: ``id_col`` and ``bad`` (1 bad, 0 good). Its repeated rows for one page count each time.
     """
     thin = with_rule(with_host_and_path(pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))), rules).drop("url")
+    thin = materialize(thin, "page-hosts")
     labelled = thin.join(outcomes.select(F.col(id_col).alias("id"), F.col("bad").cast("int").alias("bad")), "id").select("host", "bad")
     reputation = host_reputation(labelled, thin)
     verdict = F.coalesce("rule_verdict", F.when(F.col("lower") > max_bad, "block").otherwise("allow"))
