@@ -30,6 +30,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bins of the ranking value per unit of its logarithm; values beyond 2^63 / 2^-63 share the outer ones.
 BINS = 256
 FINER = 4096
+#: Rows of a table of sources, or of groups at their cuts, that are broadcast at most.
+FEW = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -143,7 +145,8 @@ def mix_sizes(thin: DataFrame, weights: tuple[int, ...], max_repeat: int, seed:
     plan = materialize(plan, "mix-plan")
 
     # what the cut leaves open goes to one row of the group not all drawn whose size comes nearest to it: one group per source
-    gap = plan.groupBy("s").agg((F.first("rest") - F.sum(F.col("size") * F.col("extras"))).alias("gap"))
+    gap = materialize(plan.groupBy("s").agg((F.max("rest") - F.sum(F.col("size") * F.col("extras"))).alias("gap")), "mix-gaps")
+    gap = F.broadcast(gap) if gap.count() <= FEW else gap  # one row a source
     nearest = plan.where("extras < rows").join(gap, "s").where("abs(gap - size) < gap")
     nearest = nearest.groupBy("s").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "q", "id", "size")).alias("best"))
     nearest = nearest.select(F.col("s").alias("n_s"), F.col("best.id").alias("n_id"), F.col("best.size").alias("n_size"))
@@ -159,8 +162,7 @@ def mix_sizes(thin: DataFrame, weights: tuple[int, ...], max_repeat: int, seed:
         on = (F.col("s") == F.col("p_s")) & F.col("id").eqNullSafe(F.col("p_id")) & (F.col("size") == F.col("p_size"))
         return rows.join(right, on, how).drop("p_s", "p_id", "p_size")
 
-    few = parted.count() <= 100_000
-    parted = F.broadcast(parted) if few else parted
+    parted = F.broadcast(parted) if parted.count() <= FEW else parted
     rest_rows = joined(joined(base, parted.select("s", "id", "size"), "left_anti"), alike, "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
     cut_rows = pick_rows(joined(base, parted, "inner"), ["s", "id", "size"], "extras").withColumnRenamed("picked", "extra").drop("extras")
     final = rest_rows.unionByName(cut_rows)
