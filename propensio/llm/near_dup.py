@@ -226,14 +226,17 @@ def keep_one_per_group(docs: DataFrame, percent: int = 80, width: int = 5, id_co
     Repeated rows of one id and equal text are one document: one row stays. Rows that share an id
     but not the text are documents of their own; all but one of them stand behind the other ids. Rows with a null id stay.
     """
-    ident, content = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
-    texts = docs.select(ident.alias("_shared"), content.alias("_h")).where("_shared is not null").groupBy("_shared")
-    shared = materialize(texts.agg(F.min("_h").alias("_first"), F.max("_h").alias("_last")).where("_first <> _last").select("_shared", "_first"), "shared-ids")
-    own = F.lit(1 << 62) + F.xxhash64(ident, content).bitwiseAND((1 << 61) - 1)
-    keyed = docs.join(shared, ident == F.col("_shared"), "left")
-    keyed = keyed.withColumn("_key", F.when(content != F.col("_first"), own).otherwise(ident)).drop("_shared", "_first")
-    gone = near_duplicates(keyed, percent, width, "_key", text_col).where("not kept").select(F.col("_key").alias("_gone")).distinct()
-    again = keyed.groupBy(F.col("_key").alias("_again")).count().where("count > 1 and _again is not null").select("_again")
-    kept = keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
-    same = F.col("_key") == F.col("_again")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_key"])).drop("_key")
+    names = docs.columns
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[id_col].cast("long").alias("ident"), docs[text_col].cast("string").alias("body"))
+    rows = rows.withColumn("h", F.xxhash64("body"))
+    texts = rows.where("ident is not null").groupBy(F.col("ident").alias("shared"))
+    shared = materialize(texts.agg(F.min("h").alias("first"), F.max("h").alias("last")).where("first <> last").select("shared", "first"), "shared-ids")
+    own = F.lit(1 << 62) + F.xxhash64("ident", "h").bitwiseAND((1 << 61) - 1)
+    keyed = rows.join(shared, F.col("ident") == F.col("shared"), "left")
+    keyed = keyed.withColumn("key", F.when(F.col("h") != F.col("first"), own).otherwise(F.col("ident"))).select("row", "body", "key")
+    gone = near_duplicates(keyed, percent, width, "key", "body").where("not kept").select(F.col("key").alias("gone")).distinct()
+    again = keyed.groupBy(F.col("key").alias("again")).count().where("count > 1 and again is not null").select("again")
+    kept = keyed.select("row", "key").join(gone, F.col("key") == F.col("gone"), "left_anti")
+    same = F.col("key") == F.col("again")
+    kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["key"]))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in names])

@@ -12,7 +12,11 @@ and share a shard as far as equal counts allow.
 Ranks come from a range-partitioned sort and the partitions' counts, never from one
 task per source: a source with a third of all rows spreads over as many tasks as its rows
 need, and so does one text repeated very often, because ids refine the hash. Null
-sources form a stratum of their own, null texts have size 1 and no checksum, repeated rows get slots of their own.
+sources form a stratum of their own, null texts have size 1 and no checksum, repeated rows get slots of their own; rows that
+tie in every value change places without any effect. An empty table gives an empty result.
+
+A group of equal texts stays in one shard unless the cut between two shards falls into it: of ``n`` shards, a source can
+part at most ``n - 1`` of its groups at cuts, and a group whose texts lie in several sources is parted where their ranks lie apart.
 """
 
 from __future__ import annotations
