@@ -20,12 +20,13 @@ import uuid
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensio.operators.additive import AdditiveModel
+from propensio.operators.boosting import BoostedTreesModel
 from propensio.session import materialize, work_dir
 
 log = logging.getLogger(__name__)
@@ -57,6 +58,8 @@ def _tree_of(nodes: pd.DataFrame, weight: float, forest: bool) -> dict:
 
 def node_table(spark: SparkSession, tree_model) -> DataFrame:
     """The saved model's nodes: ``tree, id, prediction, impurityStats, rawCount, leftChild, rightChild, feature, threshold``."""
+    if isinstance(tree_model, BoostedTreesModel):
+        return tree_model.node_rows(spark)
     path = work_dir(spark, f"trees-{uuid.uuid4().hex}")
     tree_model.write().overwrite().save(path)
     return spark.read.parquet(f"{path}/data").select(
@@ -66,6 +69,8 @@ def node_table(spark: SparkSession, tree_model) -> DataFrame:
 
 
 def tree_weights(tree_model) -> list[float]:
+    if isinstance(tree_model, BoostedTreesModel):
+        return [1.0] * tree_model.num_trees
     weights = [float(w) for w in tree_model.treeWeights]
     return [w / len(weights) for w in weights] if isinstance(tree_model, RandomForestClassificationModel) else weights
 
@@ -340,9 +345,10 @@ def explain_global(model, df: DataFrame, id_col: str = "ID") -> DataFrame | None
     base = model.base_model()
     stages = _flat_stages(base)
     if model.family in TREE_FAMILIES:
-        tree_stage = next(s for s in stages if isinstance(s, (GBTClassificationModel, RandomForestClassificationModel)))
-        assembler = next(s for s in stages if isinstance(s, VectorAssembler))
-        return shap_summary(shap_values(df, tree_stage, assembler.getInputCols(), id_col))
+        tree_stage = next(s for s in stages if isinstance(s, (BoostedTreesModel, RandomForestClassificationModel)))
+        boosted = isinstance(tree_stage, BoostedTreesModel)
+        names = tree_stage.fitted()["features"] if boosted else next(s for s in stages if isinstance(s, VectorAssembler)).getInputCols()
+        return shap_summary(shap_values(df, tree_stage, names, id_col))
     if model.family == "ebm":
         return additive_terms(base, df, id_col)[1]
     log.warning("no explanation is built for family %s", model.family)

@@ -434,7 +434,7 @@ def q_top_features(spark, sf_dir):
     tv = sized_for_fitting(tv.withColumn("label", F.col("label").cast("double")), SPEC.id_col).persist()
     gbt = Pipeline(stages=base_stages("xgboost", features=names)).fit(tv).stages[-1]
     tv.unpersist()
-    imp = dict(zip(names, gbt.featureImportances.toArray().tolist()))
+    imp = gbt.importances()
     rows = [(i + 1, n, float(v)) for i, (n, v) in enumerate(top_features({n: imp[n] for n in exprs}, 15))]
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
 
