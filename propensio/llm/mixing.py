@@ -183,9 +183,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = taken.where("size > 0").groupBy("id", "source", "size").agg(F.min(F.expr("taken div size")).alias("least"), F.sum(F.expr("taken div size")).alias("total"), F.count("*").alias("rows"))
     plan = materialize(plan.where("total > 0").select(F.col("id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), "least", (F.col("total") - F.col("least") * F.col("rows")).alias("more")), "mix-copies")
     same = F.col("id").eqNullSafe(F.col("p_id")) & F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))
-    found = row.join(plan, same).drop("p_id", "p_source", "p_size")
-    even = found.where("more = 0").select("row", F.col("least").alias("copies"))
-    uneven = pick_rows(found.where("more > 0"), ["id", "source", "size"], "more")
+    even = row.join(plan.where("more = 0"), same).select("row", F.col("least").alias("copies"))
+    parted = plan.where("more > 0")  # at most two groups per source; their rows meet them without a shuffle of the others
+    parted = F.broadcast(parted) if parted.count() <= FEW else parted
+    uneven = pick_rows(row.join(parted, same).drop("p_id", "p_source", "p_size"), ["id", "source", "size"], "more")
     copies = even.unionByName(uneven.select("row", (F.col("least") + F.col("picked")).alias("copies"))).where("copies > 0")
     repeated = copies.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return repeated.select(*[F.col("row").getField(c).alias(c) for c in names])
