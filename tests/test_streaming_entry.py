@@ -37,7 +37,8 @@ def test_entry_and_registry(spark):
     from propensio.plans.catalog import QUERIES
 
     extra = set(qs) - set(QUERIES)  # the training-data queries come with their subpackage only
-    assert bool(extra) == (find_spec("propensio.llm") is not None) and set(QUERIES) <= set(qs)
+    there = find_spec("corpus_pipeline") and find_spec("propensio.llm") and find_spec("propensio.llm.queries")
+    assert bool(extra) == bool(there) and set(QUERIES) <= set(qs)
 
 
 def test_stream_scoring_with_calibrated_model(spark, tmp_path):
