@@ -45,11 +45,11 @@ ORDER, SPAN, DECAY, SYMBOLS = 4, 7, 0.7, 40
 CELLS = SYMBOLS**ORDER
 MAX_CANDIDATES, MAX_NEGATIVES, LANDMARKS, MINING_ROUNDS = 2000, 6000, 768, 4
 #: Words whose kernel rows are held at once in the fit, pieces whose subsequences are, and products that are summed at once.
-FIT_BLOCK, PIECES_AT_ONCE, PRODUCTS = 100, 2000, 500_000
+FIT_BLOCK, PIECES_AT_ONCE, PRODUCTS = 100, 500, 500_000
 #: Characters of a word looked at together; longer words are cut into overlapping pieces of this length.
 PIECE, STEP = 24, 16
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
-_MEMO = 200_000
+_MEMO = 50_000
 _SLICE = 256
 MAX_TEXTS = 20_000
 
