@@ -153,3 +153,16 @@ def test_shap_values_of_a_deep_forest_add_up_over_chunks(spark):
         assert len(sums) == 300 and all(abs(sums[k] + base - p) < 1e-9 for k, p in want.items())
     a, b = ({(r["name"], r["feature"]): r["contribution"] for r in x.collect()} for x in (one, many))
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_quantile_edges_are_planned_as_text(spark, monkeypatch):
+    from pyspark.sql.functions import builtin
+
+    from propensio.operators.additive import quantile_edges
+
+    df = spark.createDataFrame([(float(i), float("nan") if i % 2 else None) for i in range(100)], "`a b` double, c double")
+    plain, made = builtin.lit, []
+    monkeypatch.setattr(builtin, "lit", lambda x: made.append(x) or plain(x))
+    edges = quantile_edges(df.withColumnRenamed("a b", "a"), ["a", "c"], 4)
+    assert edges == {"a": [24.0, 49.0, 74.0], "c": []}
+    assert len(made) < 10
